@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from vaultgauge.functions.naming import quoted
+from vaultgauge.functions.sqltext import quoted
 from vaultgauge.settings import Settings
 
 TEXT = (T.StringType, T.CharType, T.VarcharType)
@@ -16,8 +15,8 @@ TIME = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
 class LoadTime(NamedTuple):
-    raw: Column
-    value: Column  # as timestamp; NULL where a text is no timestamp
+    raw: str
+    value: str  # as timestamp; NULL where a text is no timestamp
     dtype: T.DataType
 
     @property
@@ -28,40 +27,43 @@ class LoadTime(NamedTuple):
     def is_usable(self) -> bool:
         return isinstance(self.dtype, TEXT + TIME)
 
-    def within(self, low: Column | None = None, high: Column | None = None) -> Column | None:
-        """A condition on the stored column that a scan can push down. It keeps a day more on either side, so it
-        never decides what is counted. Text has no such condition."""
+    def within(self, low: str, high: str | None = None) -> str | None:
+        """A condition on the stored column that a scan can push down, from one date to another. It keeps a day more
+        on either side, so it never decides what is counted. Text has no such condition."""
         if self.is_text or not self.is_usable:
             return None
-        condition = None
-        for bound, days, compare in ((low, -1, "__ge__"), (high, 1, "__le__")):
-            if bound is not None:
-                limit = F.date_add(F.to_date(bound), days).cast(self.dtype)
-                part = getattr(self.raw, compare)(limit)
-                condition = part if condition is None else condition & part
-        return condition
+        stored = self.dtype.simpleString()
+        condition = f"{self.raw} >= CAST({low} - 1 AS {stored})"
+        return f"({condition} AND {self.raw} < CAST({high} + 2 AS {stored}))" if high else f"({condition})"
 
 
 def column_type(df: DataFrame, name: str) -> T.DataType:
-    return df.select(F.col(quoted(name))).schema[0].dataType
+    wanted = name.upper()
+    found = [f.dataType for f in df.schema if f.name.upper() == wanted]
+    if len(found) != 1:
+        raise ValueError(f"column {name} occurs {len(found)} times")
+    return found[0]
 
 
 def load_time(df: DataFrame, name: str) -> LoadTime:
-    raw = F.col(quoted(name))
+    raw = quoted(name)
     dtype = column_type(df, name)
     if isinstance(dtype, TEXT):
-        value = raw.try_cast("timestamp")
+        value = f"try_cast({raw} AS TIMESTAMP)"
     elif isinstance(dtype, TIME):
-        value = raw.cast("timestamp")
+        value = f"CAST({raw} AS TIMESTAMP)"
     else:
-        value = F.lit(None).cast("timestamp")
+        value = "CAST(NULL AS TIMESTAMP)"
     return LoadTime(raw, value, dtype)
 
 
-def day_start(settings: Settings, days_ago: int) -> Column:
-    """First instant of a day, as a constant: comparing with it costs no calendar arithmetic per row."""
-    return F.date_sub(settings.today, days_ago).cast("timestamp")
+def day(settings: Settings, days_ago: int) -> str:
+    return f"date_sub({settings.today}, {days_ago})"
 
 
-def on_day(value: Column, settings: Settings, days_ago: int) -> Column:
-    return (value >= day_start(settings, days_ago)) & (value < day_start(settings, days_ago - 1))
+def on_day(value: str, settings: Settings, days_ago: int) -> str:
+    """Compares with constants, so no row needs calendar arithmetic."""
+    return (
+        f"({value} >= CAST({day(settings, days_ago)} AS TIMESTAMP)"
+        f" AND {value} < CAST({day(settings, days_ago - 1)} AS TIMESTAMP))"
+    )

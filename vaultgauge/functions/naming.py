@@ -1,67 +1,55 @@
-"""Naming conventions as column expressions over one row per table with an array of column names."""
+"""Naming conventions as SQL expressions over one row per table with an array of column names."""
 
 from __future__ import annotations
 
 import re
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+from vaultgauge.functions.sqltext import array_of, literal
 from vaultgauge.rules import HASH_KEY_SUFFIX, OTHER
 
 
-def quoted(name: str) -> str:
-    """A column name as F.col and expr() take it, whatever characters it holds."""
-    return "`" + name.replace("`", "``") + "`"
-
-
-def quoted_where_needed(name: Column) -> Column:
-    return F.when(name.rlike("^[A-Za-z_][A-Za-z0-9_]*$"), name).otherwise(
-        F.concat(F.lit("`"), F.replace(name, F.lit("`"), F.lit("``")), F.lit("`"))
+def table_kind(upper_name: str, prefixes: dict[str, list[str]]) -> str:
+    branches = " ".join(
+        f"WHEN startswith({upper_name}, {literal(start)}) THEN {literal(kind)}"
+        for kind, starts in prefixes.items()
+        for start in starts
     )
+    return f"CASE {branches} ELSE {literal(OTHER)} END"
 
 
-def table_kind(upper_name: Column, prefixes: dict[str, list[str]]) -> Column:
-    kind = F.lit(OTHER)
-    for name, starts in reversed(prefixes.items()):
-        matches = reduce(Column.__or__, [upper_name.startswith(s) for s in starts])
-        kind = F.when(matches, F.lit(name)).otherwise(kind)
-    return kind
-
-
-def without_prefix(upper_name: Column, kind: Column, prefixes: dict[str, list[str]]) -> Column:
-    patterns = F.create_map(
-        *[F.lit(x) for name, starts in prefixes.items() for x in (name, "^(" + "|".join(map(re.escape, starts)) + ")")]
+def without_prefix(upper_name: str, kind: str, prefixes: dict[str, list[str]]) -> str:
+    branches = " ".join(
+        f"WHEN {literal(k)} THEN regexp_replace({upper_name}, {literal('^(' + '|'.join(map(re.escape, starts)) + ')')}, '')"
+        for k, starts in prefixes.items()
     )
-    return F.regexp_replace(upper_name, F.try_element_at(patterns, kind), F.lit(""))
+    return f"CASE {kind} {branches} ELSE {upper_name} END"
 
 
-def by_synonym(columns: Column, synonyms: list[str]) -> Column:
+def by_synonym(columns: str, synonyms: list[str]) -> str:
     """The synonym of highest priority among the columns (array_intersect keeps the order of its first argument)."""
-    return F.get(F.array_intersect(F.array(*map(F.lit, synonyms)), columns), F.lit(0))
+    return f"get(array_intersect({array_of(synonyms)}, {columns}), 0)"
 
 
-def by_fuzzy_rules(columns: Column, fuzzy_rules: list[list[str]]) -> Column:
+def by_fuzzy_rules(columns: str, fuzzy_rules: list[list[str]]) -> str:
     """The first column that holds all parts of the first rule any column satisfies."""
-
-    def holds_all(parts):
-        return lambda name: reduce(Column.__and__, [F.contains(name, F.lit(p)) for p in parts])
-
-    return F.coalesce(F.lit(None).cast("string"), *[F.get(F.filter(columns, holds_all(r)), F.lit(0)) for r in fuzzy_rules])
+    found = [
+        f"get(filter({columns}, name -> {' AND '.join(f'contains(name, {literal(p)})' for p in parts)}), 0)"
+        for parts in fuzzy_rules
+    ]
+    return f"coalesce({', '.join(found)}, CAST(NULL AS STRING))"
 
 
-def audit_column(columns: Column, synonyms: list[str], fuzzy_rules: list[list[str]]) -> Column:
-    return F.coalesce(by_synonym(columns, synonyms), by_fuzzy_rules(columns, fuzzy_rules))
+def audit_column(columns: str, synonyms: list[str], fuzzy_rules: list[list[str]]) -> str:
+    return f"coalesce({by_synonym(columns, synonyms)}, {by_fuzzy_rules(columns, fuzzy_rules)})"
 
 
-def hash_keys(columns: Column) -> Column:
-    return F.filter(columns, lambda name: name.endswith(HASH_KEY_SUFFIX))
+def hash_keys(columns: str) -> str:
+    return f"filter({columns}, name -> endswith(name, {literal(HASH_KEY_SUFFIX)}))"
 
 
-def conventional_key(upper_name: Column, kind: Column, prefixes: dict[str, list[str]]) -> Column:
-    return F.concat(without_prefix(upper_name, kind, prefixes), F.lit(HASH_KEY_SUFFIX))
+def conventional_key(upper_name: str, kind: str, prefixes: dict[str, list[str]]) -> str:
+    return f"concat({without_prefix(upper_name, kind, prefixes)}, {literal(HASH_KEY_SUFFIX)})"
 
 
-def own_key(candidate: Column, keys: Column) -> Column:
-    return F.when(F.array_contains(keys, candidate), candidate).otherwise(F.get(keys, F.lit(0)))
+def own_key(candidate: str, keys: str) -> str:
+    return f"CASE WHEN array_contains({keys}, {candidate}) THEN {candidate} ELSE get({keys}, 0) END"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaultgauge.functions.clock import column_type
-from vaultgauge.functions.naming import quoted
+from vaultgauge.functions.sqltext import quoted
 from vaultgauge.functions.storage import stored
 
 # Types whose equal values have equal hashes.

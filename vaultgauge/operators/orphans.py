@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultgauge.functions.naming import quoted
+from vaultgauge.functions.sqltext import quoted
 
 # Per parent row in a broadcast hash table, besides the key itself.
 BYTES_PER_BROADCAST_ROW = 64

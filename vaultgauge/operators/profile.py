@@ -8,14 +8,13 @@ per source and task, so a source with most of the rows is no heavier than any ot
 from __future__ import annotations
 
 from collections.abc import Collection
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultgauge.functions.clock import LoadTime, column_type, day_start, load_time, on_day
-from vaultgauge.functions.naming import quoted
+from vaultgauge.functions.clock import LoadTime, column_type, day, load_time, on_day
+from vaultgauge.functions.sqltext import literal, quoted
 from vaultgauge.operators.target import Target
 from vaultgauge.settings import Settings
 
@@ -26,8 +25,6 @@ ROWS = "rows"
 KEY_BYTES = "key_bytes"
 BYTES_OF_OTHER_KEYS = 16
 
-LONG_FORM = "table_name string, slot string, value bigint, error string"
-
 
 def null_slots(target: Target) -> dict[str, str]:
     """Slot and column of the checks that count NULLs."""
@@ -37,7 +34,7 @@ def null_slots(target: Target) -> dict[str, str]:
         if target.table_type == "SAT" and target.hash_diff:
             found["S4"] = target.hash_diff
     if target.table_type == "LINK":
-        found.update({f"L2:{r.key}": r.key for r in target.references})
+        found.update({f"L2:{key}": key for key in target.references})
     if target.load_dts:
         found["T1"] = target.load_dts
     if target.record_source:
@@ -54,19 +51,19 @@ def profile_slots(target: Target) -> set[str]:
     return slots
 
 
-def _rows_that_matter(slot: str, target: Target, load: LoadTime | None, settings: Settings) -> Column | None:
+def rows_that_matter(slot: str, target: Target, load: LoadTime | None, settings: Settings) -> str | None:
     """Rows outside this condition cannot change the value of the slot. None: every row counts."""
     nulls = null_slots(target)
     if slot in nulls:
-        return F.col(quoted(nulls[slot])).isNull()
+        return f"{quoted(nulls[slot])} IS NULL"
     if slot in ("T2", "F2"):
-        return load.within(low=settings.now)
+        return load.within(settings.today)
     if slot == "V1":
-        return load.within(low=day_start(settings, 1), high=settings.now)
+        return load.within(day(settings, 1), settings.today)
     if slot == "V2":
-        return load.within(low=day_start(settings, settings.spike_window_days), high=settings.now)
+        return load.within(day(settings, settings.spike_window_days), settings.today)
     if slot == "V3":
-        return load.within(low=settings.now, high=settings.now)
+        return load.within(settings.today, settings.today)
     return None
 
 
@@ -75,103 +72,102 @@ def profile(df: DataFrame, target: Target, wanted: Collection[str], settings: Se
     their columns only and, where all of them concern few rows, skips the rest of the file by its statistics."""
     wanted = set(wanted)
     load = load_time(df, target.load_dts) if target.load_dts else None
-    conditions = [_rows_that_matter(slot, target, load, settings) for slot in sorted(wanted)]
-    if conditions and all(c is not None for c in conditions):
-        df = df.filter(reduce(Column.__or__, conditions))
+    conditions = [rows_that_matter(slot, target, load, settings) for slot in sorted(wanted)]
+    if conditions and all(conditions):
+        df = df.filter(" OR ".join(conditions))
+
+    measures = _measures(df, target, load, wanted, settings)
+    per_rows = [F.expr(f"{over_rows} AS {name}") for name, (over_rows, _) in measures.items()]
+    if wanted & SOURCE_SLOTS:
+        per_source = df.groupBy(F.expr(f"{quoted(target.record_source)} AS source")).agg(*per_rows)
+        figures = per_source.agg(
+            *[F.expr(f"{merge}({name}) AS {name}") for name, (_, merge) in measures.items()],
+            F.expr("max(rows) AS top_source_rows"),
+            F.expr("count(source) AS sources"),
+        )
+    else:
+        figures = df.agg(*per_rows)
+
+    clock_error = _clock_error(target, load, measures)
+    values = _values(target, settings)
+    cells = []
+    for slot in sorted(wanted):
+        value = f"CAST(coalesce({values[slot]}, 0) AS BIGINT)"
+        error = "CAST(NULL AS STRING)"
+        if slot in CLOCK_SLOTS and clock_error:
+            # An unusable load time has no figures at all.
+            value = f"CASE WHEN {clock_error} IS NULL THEN {value} END" if load.is_usable else "CAST(NULL AS BIGINT)"
+            error = clock_error
+        cells.append(f"{literal(slot)}, {value}, {error}")
+    return figures.selectExpr(
+        f"{literal(target.name)} AS table_name",
+        f"stack({len(cells)}, {', '.join(cells)}) AS (slot, value, error)",
+    )
 
-    # Measures of a group of rows: name -> (aggregate over rows, aggregate that merges groups).
-    measures: dict[str, tuple[Column, callable]] = {ROWS: (F.count(F.lit(1)), F.sum)}
+
+def _measures(
+    df: DataFrame, target: Target, load: LoadTime | None, wanted: set[str], settings: Settings
+) -> dict[str, tuple[str, str]]:
+    """Figures of a group of rows: name -> (aggregate over rows, aggregate that merges groups)."""
+    measures = {ROWS: ("count(*)", "sum")}
     for slot, column in null_slots(target).items():
         if slot in wanted:
-            measures[slot] = (F.count_if(F.col(quoted(column)).isNull()), F.sum)
+            measures[_name(slot)] = (f"count_if({quoted(column)} IS NULL)", "sum")
     if wanted & CLOCK_SLOTS and load.is_usable:
         if wanted & {"T2", "F2"}:
-            measures["future"] = (F.count_if(load.value > settings.now), F.sum)
+            measures["future"] = (f"count_if({load.value} > {settings.now})", "sum")
         if "F1" in wanted:
-            measures["latest"] = (F.max(load.value), F.max)
+            measures["latest"] = (f"max({load.value})", "max")
         if "F3" in wanted:
-            measures["oldest"] = (F.min(load.value), F.min)
-        days = set()
-        if wanted & {"V1", "V2", "V3"}:
-            days.add(0)
+            measures["oldest"] = (f"min({load.value})", "min")
+        days = {0} if wanted & {"V1", "V2", "V3"} else set()
         if "V1" in wanted:
             days.add(1)
         if "V2" in wanted:
             days.update(range(1, settings.spike_window_days + 1))
         for k in sorted(days):
-            measures[f"day_{k}"] = (F.count_if(on_day(load.value, settings, k)), F.sum)
+            measures[f"day_{k}"] = (f"count_if({on_day(load.value, settings, k)})", "sum")
         if load.is_text and not settings.lenient_timestamps:
-            measures["malformed"] = (F.count_if(load.raw.isNotNull() & load.value.isNull()), F.sum)
+            measures["malformed"] = (f"count_if({load.raw} IS NOT NULL AND {load.value} IS NULL)", "sum")
     if KEY_BYTES in wanted:
         is_text = isinstance(column_type(df, target.own_hk), (T.StringType, T.BinaryType))
-        width = F.octet_length(F.col(quoted(target.own_hk))) if is_text else F.lit(BYTES_OF_OTHER_KEYS)
-        measures[KEY_BYTES] = (F.sum(width.cast("bigint")), F.sum)
+        width = f"octet_length({quoted(target.own_hk)})" if is_text else str(BYTES_OF_OTHER_KEYS)
+        measures[KEY_BYTES] = (f"sum(CAST({width} AS BIGINT))", "sum")
+    return measures
 
-    per_rows = [over_rows.alias(name) for name, (over_rows, _) in measures.items()]
-    if wanted & SOURCE_SLOTS:
-        per_source = df.groupBy(F.col(quoted(target.record_source)).alias("source")).agg(*per_rows)
-        figures = per_source.agg(
-            *[merge(F.col(name)).alias(name) for name, (_, merge) in measures.items()],
-            F.max(ROWS).alias("top_source_rows"),
-            F.count("source").alias("sources"),
-        )
-    else:
-        figures = df.agg(*per_rows)
 
-    error = F.lit(None).cast("string")
-    clock_error = error
+def _name(slot: str) -> str:
+    return quoted("nulls_" + slot)
+
+
+def _clock_error(target: Target, load: LoadTime | None, measures: dict) -> str | None:
+    """Why the load times of the table cannot be read, as an expression over its figures."""
     if load is not None and not load.is_usable:
-        clock_error = F.lit(
-            f"DATATYPE_MISMATCH: column {target.load_dts} of type {load.dtype.simpleString()} holds no load time"
-        )
-    elif "malformed" in measures:
-        clock_error = F.when(
-            F.col("malformed") > 0,
-            F.concat(
-                F.lit("CAST_INVALID_INPUT: "),
-                F.col("malformed").cast("string"),
-                F.lit(f" value(s) of column {target.load_dts} cannot be read as a timestamp"),
-            ),
-        )
-    values = _values(target, measures, settings)
-    long_rows = [
-        F.struct(
-            F.lit(slot).alias("slot"),
-            (F.when(clock_error.isNull(), values[slot]) if slot in CLOCK_SLOTS else values[slot])
-            .cast("bigint")
-            .alias("value"),
-            (clock_error if slot in CLOCK_SLOTS else error).alias("error"),
-        )
-        for slot in sorted(wanted)
-    ]
-    return figures.select(F.inline(F.array(*long_rows))).select(
-        F.lit(target.name).alias("table_name"), "slot", "value", "error"
-    )
+        kind = load.dtype.simpleString()
+        return literal(f"DATATYPE_MISMATCH: column {target.load_dts} of type {kind} holds no load time")
+    if "malformed" in measures:
+        text = literal(f" value(s) of column {target.load_dts} cannot be read as a timestamp")
+        return f"CASE WHEN malformed > 0 THEN concat('CAST_INVALID_INPUT: ', malformed, {text}) END"
+    return None
 
 
-def _values(target: Target, measures: dict, settings: Settings) -> dict[str, Column]:
+def _values(target: Target, settings: Settings) -> dict[str, str]:
     """Value of each slot from the figures of the table."""
-
-    def figure(name):
-        return F.col(name) if name in measures else F.lit(None)
-
-    prior = [figure(f"day_{k}") for k in range(1, settings.spike_window_days + 1)]
-    prior_rows = reduce(Column.__add__, [F.coalesce(p, F.lit(0)) for p in prior])
-    prior_days = reduce(Column.__add__, [F.when(p > 0, 1).otherwise(0) for p in prior])
-    usual = F.try_divide(prior_rows, prior_days)  # average over the days that have rows
-    values = {
-        **{slot: figure(slot) for slot in null_slots(target)},
-        "T4": figure(ROWS),
-        ROWS: figure(ROWS),
-        KEY_BYTES: figure(KEY_BYTES),
-        "T2": figure("future"),
-        "F2": figure("future"),
-        "F1": (figure("latest") < settings.now - F.make_dt_interval(hours=F.lit(settings.stale_hours))).cast("int"),
-        "F3": F.datediff(settings.today, figure("oldest")),
-        "V1": ((figure("day_0") == 0) & (figure("day_1") > 0)).cast("int"),
-        "V2": (figure("day_0") > settings.spike_multiplier * usual).cast("int"),
-        "V3": figure("day_0"),
-        "R1": (F.col("top_source_rows") * 100 >= settings.single_source_percent * F.col(ROWS)).cast("int"),
-        "R2": F.col("sources"),
+    prior = [f"day_{k}" for k in range(1, settings.spike_window_days + 1)]
+    # Average over the days that have rows.
+    usual = f"try_divide({' + '.join(prior)}, {' + '.join(f'int({p} > 0)' for p in prior)})"
+    return {
+        **{slot: _name(slot) for slot in null_slots(target)},
+        "T4": ROWS,
+        ROWS: ROWS,
+        KEY_BYTES: KEY_BYTES,
+        "T2": "future",
+        "F2": "future",
+        "F1": f"int(latest < {settings.now} - make_dt_interval(0, {settings.stale_hours}))",
+        "F3": f"datediff({settings.today}, oldest)",
+        "V1": "int(day_0 = 0 AND day_1 > 0)",
+        "V2": f"int(day_0 > {settings.spike_multiplier} * {usual})",
+        "V3": "day_0",
+        "R1": f"int(top_source_rows * 100 >= {settings.single_source_percent} * rows)",
+        "R2": "sources",
     }
-    return {slot: F.coalesce(value.cast("bigint"), F.lit(0)) for slot, value in values.items()}

@@ -5,12 +5,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 
-class Reference(NamedTuple):
-    key: str
-    parent: str | None
-    parent_source: str | None
-
-
 class Target(NamedTuple):
     name: str
     source_name: str
@@ -20,4 +14,4 @@ class Target(NamedTuple):
     record_source: str | None
     hash_diff: str | None
     hk_columns: tuple[str, ...]
-    references: tuple[Reference, ...]
+    references: dict[str, str | None]  # foreign or parent key -> table that owns it

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultgauge import rules
 from vaultgauge.functions import naming
+from vaultgauge.functions.sqltext import literal
 from vaultgauge.settings import Settings
 from vaultgauge.sources.vault import Vault
 
@@ -23,27 +24,22 @@ class EmptyVaultError(Exception):
 
 def catalog(vault: Vault, settings: Settings) -> DataFrame:
     """One row per vault table: kind, upper-cased columns, audit columns, hash keys and own key."""
-    table_type = F.col("table_type")
     tables = (
         vault.metadata(settings)
-        .select(
-            "position",
-            "source_name",
-            F.upper("source_name").alias("table_name"),
-            F.transform("column_names", F.upper).alias("columns"),
+        .selectExpr("*", "upper(source_name) AS table_name", "transform(column_names, c -> upper(c)) AS columns")
+        .selectExpr("*", f"{naming.table_kind('table_name', settings.prefixes)} AS table_type")
+        .filter(f"table_type <> {literal(rules.OTHER)}")
+        .selectExpr(
+            "*",
+            f"{naming.hash_keys('columns')} AS hk_columns",
+            f"{naming.conventional_key('table_name', 'table_type', settings.prefixes)} AS conventional_hk",
         )
-        .withColumn("table_type", naming.table_kind(F.col("table_name"), settings.prefixes))
-        .filter(table_type != rules.OTHER)
-        .withColumn("hk_columns", naming.hash_keys(F.col("columns")))
-        .withColumn("conventional_hk", naming.conventional_key(F.col("table_name"), table_type, settings.prefixes))
-        .withColumn("own_hk", naming.own_key(F.col("conventional_hk"), F.col("hk_columns")))
-    )
-    return tables.withColumns(
-        {
-            name: naming.audit_column(F.col("columns"), settings.synonyms[logical], settings.fuzzy_rules[logical])
-            for logical, name in AUDIT_COLUMNS.items()
-        }
     )
+    audit_columns = [
+        f"{naming.audit_column('columns', settings.synonyms[logical], settings.fuzzy_rules[logical])} AS {name}"
+        for logical, name in AUDIT_COLUMNS.items()
+    ]
+    return tables.selectExpr("*", f"{naming.own_key('conventional_hk', 'hk_columns')} AS own_hk", *audit_columns)
 
 
 def references(tables: DataFrame, settings: Settings) -> DataFrame:
@@ -51,40 +47,30 @@ def references(tables: DataFrame, settings: Settings) -> DataFrame:
 
     Of several owners of a key the last one counts, and links come after hubs.
     """
-    owners = tables.filter(F.col("table_type").isin("HUB", "LINK") & F.col("own_hk").isNotNull())
+    owners = tables.filter("table_type IN ('HUB', 'LINK') AND own_hk IS NOT NULL")
     if settings.strict_parents:
-        owners = owners.filter(F.col("own_hk") == F.col("conventional_hk"))
-    owners = owners.groupBy(F.col("own_hk").alias("key_column")).agg(
-        F.max_by(
-            F.struct("table_name", "source_name"), F.struct(F.col("table_type") == "LINK", F.col("position"))
-        ).alias("owner")
-    )
-    foreign_keys = (
-        F.when(F.col("table_type") == "LINK", F.filter("hk_columns", lambda k: k != F.col("own_hk")))
-        .when(F.col("table_type") == "SAT", F.filter(F.array("own_hk"), lambda k: k.isNotNull()))
-        .otherwise(F.array().cast("array<string>"))
+        owners = owners.filter("own_hk = conventional_hk")
+    owners = owners.groupBy(F.expr("own_hk AS key_column")).agg(
+        F.expr("max_by(struct(table_name, source_name), struct(table_type = 'LINK', position)) AS owner")
     )
+    keys = """CASE table_type WHEN 'LINK' THEN filter(hk_columns, k -> k <> own_hk)
+                              WHEN 'SAT' THEN array_compact(array(own_hk)) END"""
     return (
-        tables.select("position", "table_type", "table_name", F.posexplode(foreign_keys).alias("reference_no", "key_column"))
+        tables.selectExpr("position", "table_type", "table_name", f"posexplode({keys}) AS (reference_no, key_column)")
         .join(owners, "key_column", "left")
-        .select(
-            "position",
-            "table_type",
-            "table_name",
-            "reference_no",
-            "key_column",
-            F.col("owner.table_name").alias("parent_name"),
-            F.col("owner.source_name").alias("parent_source_name"),
+        .selectExpr(
+            "position", "table_type", "table_name", "reference_no", "key_column",
+            "owner.table_name AS parent_name", "owner.source_name AS parent_source_name",
         )
     )
 
 
 def diagnostics(tables: DataFrame) -> DataFrame:
     """Resolved audit columns per table and the names of those that could not be resolved."""
-    missing = F.array_compact(
-        F.array(*[F.when(F.col(name).isNull(), F.lit(logical)) for logical, name in AUDIT_COLUMNS.items()])
+    missing = ", ".join(f"CASE WHEN {name} IS NULL THEN {literal(logical)} END" for logical, name in AUDIT_COLUMNS.items())
+    return tables.selectExpr(
+        "table_name", "table_type", *AUDIT_COLUMNS.values(), "hk_columns", f"array_compact(array({missing})) AS missing"
     )
-    return tables.select("table_name", "table_type", *AUDIT_COLUMNS.values(), "hk_columns", missing.alias("missing"))
 
 
 def require_tables(found: list, vault: Vault, settings: Settings) -> None:

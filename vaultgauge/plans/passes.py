@@ -10,10 +10,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from vaultgauge.functions.clock import column_type
 from vaultgauge.operators.grain import can_hash_first, duplicate_groups, duplicate_groups_hash_first
 from vaultgauge.operators.orphans import Child, orphan_rows, shared_key_figures
 from vaultgauge.operators.profile import profile, profile_slots
-from vaultgauge.operators.target import Reference, Target
+from vaultgauge.operators.target import Target
 from vaultgauge.plans import catalog as catalog_plan
 from vaultgauge.plans.specs import check_specs
 from vaultgauge.settings import Settings
@@ -21,7 +22,7 @@ from vaultgauge.sources.vault import Vault
 
 
 class Plan(NamedTuple):
-    """The catalog and the checks of a vault, on the driver: some dozen short rows per table."""
+    """The catalog and the checks of a vault, on the driver: some twenty short rows per table."""
 
     targets: dict[str, Target]
     specs: list[Row]
@@ -35,26 +36,17 @@ def make_plan(vault: Vault, settings: Settings) -> Plan:
     rows = tables.collect()
     catalog_plan.require_tables(rows, vault, settings)
     references = catalog_plan.references(tables, settings)
-    by_table: dict[str, list[Row]] = {}
-    for r in references.orderBy("position", "reference_no").collect():
-        by_table.setdefault(r.table_name, []).append(r)
+    specs = sorted(check_specs(tables, references, settings, vault.qualifier).collect(), key=lambda s: s.seq)
     targets = {
         r.table_name: Target(
-            r.table_name,
-            r.source_name,
-            r.table_type,
-            r.own_hk,
-            r.load_dts_col,
-            r.record_source_col,
-            r.hash_diff_col,
-            tuple(r.hk_columns),
-            tuple(
-                Reference(k.key_column, k.parent_name, k.parent_source_name) for k in by_table.get(r.table_name, [])
-            ),
+            r.table_name, r.source_name, r.table_type, r.own_hk, r.load_dts_col, r.record_source_col, r.hash_diff_col,
+            tuple(r.hk_columns), {},
         )
         for r in sorted(rows, key=lambda r: r.position)
     }
-    specs = check_specs(tables, references, settings, vault.qualifier).orderBy("seq").collect()
+    for s in specs:
+        if s.check_id in ("L2", "L3", "S3"):
+            targets[s.table_name].references[s.key_column] = s.parent_name
     return Plan(targets, specs)
 
 
@@ -68,13 +60,11 @@ def grain_keys(target: Target, slot: str) -> list[str] | None:
     }.get(slot)
 
 
-def reference_of(target: Target, slot: str) -> Reference | None:
-    """The parent key of an orphan check."""
+def key_of_orphans(target: Target, slot: str) -> str | None:
+    """The key column of an orphan check."""
     if slot == "S3":
-        return target.references[0]
-    if slot.startswith("L3:"):
-        return next(r for r in target.references if r.key == slot.removeprefix("L3:"))
-    return None
+        return target.own_hk
+    return slot.removeprefix("L3:") if slot.startswith("L3:") else None
 
 
 def _long_form(df: DataFrame, target: Target, slot: str) -> DataFrame:
@@ -100,10 +90,11 @@ def grain_frame(vault: Vault, target: Target, slot: str, settings: Settings, has
     return _long_form(groups, target, slot)
 
 
-def orphan_frame(vault: Vault, target: Target, slot: str, broadcast_parent: bool = False) -> DataFrame:
-    reference = reference_of(target, slot)
-    child = Child(target.name, slot, vault.table(target.source_name), reference.key)
-    return _long_form(orphan_rows(child, vault.table(reference.parent_source), broadcast_parent), target, slot)
+def orphan_frame(
+    vault: Vault, target: Target, slot: str, parent: Target, broadcast_parent: bool = False
+) -> DataFrame:
+    child = Child(target.name, slot, vault.table(target.source_name), key_of_orphans(target, slot))
+    return _long_form(orphan_rows(child, vault.table(parent.source_name), broadcast_parent), target, slot)
 
 
 def shared_frame(
@@ -133,8 +124,6 @@ def shared_frame(
 
 
 def same_key_type(vault: Vault, parent: Target, child: Target, key: str) -> bool:
-    from vaultgauge.functions.clock import column_type
-
     return column_type(vault.table(parent.source_name), key) == column_type(vault.table(child.source_name), key)
 
 
@@ -153,11 +142,12 @@ def check_values(
         for slot in slots:
             if grain_keys(target, slot):
                 frames.append(grain_frame(vault, target, slot, settings))
-            elif reference := reference_of(target, slot):
+            elif key := key_of_orphans(target, slot):
+                parent = target.references[key]
                 if shared:
-                    children.setdefault((reference.parent, reference.key), []).append((target, slot))
+                    children.setdefault((parent, key), []).append((target, slot))
                 else:
-                    frames.append(orphan_frame(vault, target, slot))
+                    frames.append(orphan_frame(vault, target, slot, plan.targets[parent]))
     for (parent, key), members in children.items():
         for start in range(0, len(members), settings.children_per_round):
             batch = members[start : start + settings.children_per_round]

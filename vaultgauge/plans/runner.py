@@ -21,7 +21,7 @@ from vaultgauge.operators.profile import KEY_BYTES, ROWS, profile_slots
 from vaultgauge.operators.target import Target
 from vaultgauge.plans import summary
 from vaultgauge.plans.passes import (
-    Plan, grain_frame, grain_keys, make_plan, orphan_frame, profile_frame, reference_of, same_key_type, shared_frame,
+    Plan, grain_frame, grain_keys, key_of_orphans, make_plan, orphan_frame, profile_frame, same_key_type, shared_frame,
 )
 from vaultgauge.plans.verdict import with_status
 from vaultgauge.settings import Settings
@@ -76,7 +76,7 @@ def validate(vault: Vault, settings: Settings | None = None) -> Report:
 
 
 def _profile_passes(vault: Vault, plan: Plan, settings: Settings) -> list[Pass]:
-    parents = {r.parent for t in plan.targets.values() for r in t.references if r.parent}
+    parents = {parent for t in plan.targets.values() for parent in t.references.values()}
     return [_profile_pass(vault, t, t.name in parents, plan, settings) for t in plan.targets.values()]
 
 
@@ -108,8 +108,8 @@ def _key_passes(vault: Vault, plan: Plan, settings: Settings, outcomes: dict[Slo
         hash_first = (measured(target.name, ROWS) or 0) >= settings.hash_first_rows
         return Pass([(target.name, slot)], lambda: grain_frame(vault, target, slot, settings, hash_first))
 
-    def orphan_pass(target: Target, slot: str, broadcast_parent: bool) -> Pass:
-        return Pass([(target.name, slot)], lambda: orphan_frame(vault, target, slot, broadcast_parent))
+    def orphan_pass(target: Target, slot: str, parent: Target, broadcast_parent: bool) -> Pass:
+        return Pass([(target.name, slot)], lambda: orphan_frame(vault, target, slot, parent, broadcast_parent))
 
     passes: list[Pass] = []
     duplicates_of_hubs: dict[str, Target] = {}
@@ -120,13 +120,14 @@ def _key_passes(vault: Vault, plan: Plan, settings: Settings, outcomes: dict[Slo
                 duplicates_of_hubs[target.name] = target
             elif grain_keys(target, slot):
                 passes.append(grain_pass(target, slot))
-            elif reference := reference_of(target, slot):
-                if fits_broadcast(measured(reference.parent, ROWS), measured(reference.parent, KEY_BYTES), limit):
-                    passes.append(orphan_pass(target, slot, True))
-                elif _safe(same_key_type, vault, plan.targets[reference.parent], target, reference.key):
-                    children.setdefault((reference.parent, reference.key), []).append((target, slot))
+            elif key := key_of_orphans(target, slot):
+                parent = plan.targets[target.references[key]]
+                if fits_broadcast(measured(parent.name, ROWS), measured(parent.name, KEY_BYTES), limit):
+                    passes.append(orphan_pass(target, slot, parent, True))
+                elif _safe(same_key_type, vault, parent, target, key):
+                    children.setdefault((parent.name, key), []).append((target, slot))
                 else:
-                    passes.append(orphan_pass(target, slot, False))
+                    passes.append(orphan_pass(target, slot, parent, False))
 
     for (parent_name, key), members in children.items():
         parent = plan.targets[parent_name]
@@ -134,7 +135,7 @@ def _key_passes(vault: Vault, plan: Plan, settings: Settings, outcomes: dict[Slo
             batch = members[start : start + settings.children_per_round]
             hub = duplicates_of_hubs.pop(parent_name, None)
             slots = [(t.name, slot) for t, slot in batch] + ([(hub.name, "H2")] if hub else [])
-            single = [orphan_pass(t, slot, False) for t, slot in batch] + ([grain_pass(hub, "H2")] if hub else [])
+            single = [orphan_pass(t, slot, parent, False) for t, slot in batch] + ([grain_pass(hub, "H2")] if hub else [])
             passes.append(
                 Pass(
                     slots,

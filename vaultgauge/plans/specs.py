@@ -5,15 +5,22 @@ from __future__ import annotations
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultgauge import rules
-from vaultgauge.functions.naming import quoted_where_needed
+from vaultgauge.functions.sqltext import literal, quoted_where_needed
 from vaultgauge.settings import Settings
 
 
-def _registry(spark) -> DataFrame:
+def _registry(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The check templates with the settings of the run filled in, one row per table kind."""
+
+    def with_settings(text: str) -> str:
+        for name in ("stale_hours", "spike_multiplier", "spike_window_days", "single_source_percent"):
+            text = text.replace("{" + name + "}", str(getattr(settings, name)))
+        return text.replace("{now}", settings.as_of).replace("{today}", settings.as_of[:10])
+
     rows = [
         {
             "table_type": table_type,
@@ -24,9 +31,9 @@ def _registry(spark) -> DataFrame:
             "category": c.category,
             "kind": c.kind,
             "needs": list(c.needs),
-            "name": c.name,
-            "impact": c.impact,
-            "query": c.query,
+            "name": with_settings(c.name),
+            "impact": with_settings(c.impact),
+            "query": with_settings(c.query),
         }
         for rank, c in enumerate(rules.CHECKS)
         for table_type in c.table_types
@@ -49,84 +56,68 @@ def _registry(spark) -> DataFrame:
     return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
 
 
-def _filled(template: Column, values: dict[str, Column]) -> Column:
-    return reduce(lambda text, v: F.replace(text, F.lit("{" + v[0] + "}"), v[1]), values.items(), template)
+def _filled(template: str, values: dict[str, str]) -> str:
+    return reduce(lambda text, v: f"replace({text}, {literal('{' + v[0] + '}')}, {v[1]})", values.items(), template)
 
 
 def check_specs(tables: DataFrame, references: DataFrame, settings: Settings, qualifier: str = "") -> DataFrame:
     """One row per check to run. `slot` names the check within its table, `seq` gives the order of generation."""
-    spark = tables.sparkSession
-
-    def full_name(name: Column) -> Column:
-        parts = [quoted_where_needed(F.lit(qualifier))] if qualifier else []
-        return F.concat_ws(".", *parts, quoted_where_needed(name))
-
     # A check of the table itself sees the parent of a satellite; a check per foreign key sees that key and its parent.
-    parents = references.select(
-        "table_type", "table_name", "reference_no", "key_column", "parent_name", "parent_source_name"
+    of_satellites = references.filter("table_type = 'SAT'").drop("table_type", "position", "reference_no")
+    of_links = references.filter("table_type = 'LINK'").drop("table_type", "position")
+    per_table = tables.selectExpr("*", "false AS per_reference", "0 AS reference_no").join(
+        of_satellites, "table_name", "left"
     )
-    of_satellites = parents.filter("table_type = 'SAT'").drop("table_type", "reference_no")
-    of_links = parents.filter("table_type = 'LINK'").drop("table_type")
-    per_table = (
-        tables.withColumns({"per_reference": F.lit(False), "reference_no": F.lit(0)})
-        .join(of_satellites, "table_name", "left")
+    per_reference = tables.selectExpr("*", "true AS per_reference").join(of_links, "table_name")
+    present = ", ".join(
+        f"CASE WHEN {c} IS NOT NULL THEN {literal(c)} END"
+        for c in (rules.OWN_KEY, rules.PARENT, "load_dts_col", "record_source_col", "hash_diff_col")
     )
-    per_reference = tables.withColumn("per_reference", F.lit(True)).join(of_links, "table_name")
-    targets = per_table.unionByName(per_reference)
-
-    present = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(c).isNotNull(), F.lit(c))
-                for c in (rules.OWN_KEY, rules.PARENT, "load_dts_col", "record_source_col", "hash_diff_col")
-            ],
-            F.when(F.size("hk_columns") > 0, F.lit(rules.ANY_KEY)),
-        )
-    )
-    checks = targets.join(F.broadcast(_registry(spark)), ["table_type", "per_reference"]).filter(
-        F.size(F.array_except("needs", present)) == 0
+    any_key = f"CASE WHEN size(hk_columns) > 0 THEN {literal(rules.ANY_KEY)} END"
+    checks = (
+        per_table.unionByName(per_reference)
+        .join(F.broadcast(_registry(tables.sparkSession, settings)), ["table_type", "per_reference"])
+        .filter(f"size(array_except(needs, array({present}, {any_key}))) = 0")
     )
 
-    constants = {
-        "stale_hours": settings.stale_hours,
-        "spike_multiplier": settings.spike_multiplier,
-        "spike_window_days": settings.spike_window_days,
-        "single_source_percent": settings.single_source_percent,
-        "now": settings.as_of,
-    }
-    blank = F.lit("")
+    database = [quoted_where_needed(literal(qualifier))] if qualifier else []
+
+    def full_name(name: str) -> str:
+        return f"concat_ws('.', {', '.join([*database, quoted_where_needed(name)])})"
+
     names = {
-        "own": F.coalesce("own_hk", blank),
-        "key_name": F.coalesce("key_column", blank),
-        "parent": F.coalesce("parent_name", blank),
-        "diff_name": F.coalesce("hash_diff_col", blank),
-        **{k: F.lit(str(v)) for k, v in constants.items()},
-        "today": settings.today.cast("string"),
+        "own": "coalesce(own_hk, '')",
+        "key_name": "coalesce(key_column, '')",
+        "parent": "coalesce(parent_name, '')",
+        "diff_name": "coalesce(hash_diff_col, '')",
     }
     sql_parts = {
-        "table": full_name(F.col("source_name")),
-        "parent_table": F.coalesce(full_name(F.col("parent_source_name")), blank),
-        "own_sql": F.coalesce(quoted_where_needed(F.col("own_hk")), blank),
-        "key": F.coalesce(quoted_where_needed(F.col("key_column")), blank),
-        "load": F.coalesce(quoted_where_needed(F.col("load_dts_col")), blank),
-        "source": F.coalesce(quoted_where_needed(F.col("record_source_col")), blank),
-        "diff": F.coalesce(quoted_where_needed(F.col("hash_diff_col")), blank),
-        "combo": F.array_join(F.transform("hk_columns", quoted_where_needed), ", "),
+        "table": full_name("source_name"),
+        "parent_table": f"coalesce({full_name('parent_source_name')}, '')",
+        "combo": f"array_join(transform(hk_columns, k -> {quoted_where_needed('k')}), ', ')",
+        **{
+            part: f"coalesce({quoted_where_needed(column)}, '')"
+            for part, column in {
+                "own_sql": "own_hk",
+                "key": "key_column",
+                "load": "load_dts_col",
+                "source": "record_source_col",
+                "diff": "hash_diff_col",
+            }.items()
+        },
     }
-    seq = F.col("position") * 10_000_000 + F.col("stage") * 100_000 + F.col("reference_no") * 100 + F.col("rank")
-    return checks.select(
-        seq.alias("seq"),
+    return checks.selectExpr(
+        "position * 10000000L + stage * 100000 + reference_no * 100 + rank AS seq",
         "category",
         "table_name",
         "source_name",
         "table_type",
         "check_id",
-        F.when(F.col("per_reference"), F.concat_ws(":", "check_id", "key_column")).otherwise(F.col("check_id")).alias("slot"),
-        _filled(F.col("name"), names).alias("check_name"),
+        "CASE WHEN per_reference THEN concat(check_id, ':', key_column) ELSE check_id END AS slot",
+        f"{_filled('name', names)} AS check_name",
         "kind",
-        _filled(F.col("impact"), names).alias("impact"),
-        _filled(_filled(F.col("query"), sql_parts), names).alias("query_text"),
+        "impact",
+        f"{_filled('query', sql_parts)} AS query_text",
         "key_column",
         "parent_name",
-        "parent_source_name",
     )

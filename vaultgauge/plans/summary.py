@@ -96,7 +96,7 @@ def failures(results: DataFrame) -> DataFrame:
 
 
 def _utc(settings: Settings):
-    return F.to_utc_timestamp(settings.now, F.current_timezone())
+    return F.to_utc_timestamp(F.expr(settings.now), F.current_timezone())
 
 
 def report_header(results: DataFrame, settings: Settings) -> DataFrame:

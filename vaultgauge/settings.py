@@ -5,8 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from vaultgauge import rules
 
@@ -49,27 +48,26 @@ class Settings:
 
     def resolved(self, spark: SparkSession) -> Settings:
         """The same settings with clock and cast mode fixed for one run."""
-        as_of = self.as_of
-        if as_of is None:
-            as_of = spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]
-        elif isinstance(as_of, datetime):
-            if as_of.tzinfo is not None:
-                micros = round(as_of.timestamp() * 1_000_000)
-                as_of = spark.sql(f"SELECT CAST(timestamp_micros({micros}) AS STRING)").first()[0]
-            else:
-                as_of = as_of.isoformat(sep=" ")
+        if self.as_of is None:
+            instant = "current_timestamp()"
+        elif isinstance(self.as_of, datetime) and self.as_of.tzinfo is not None:
+            instant = f"timestamp_micros({round(self.as_of.timestamp() * 1_000_000)})"
+        else:
+            instant = f"CAST('{self.as_of}' AS TIMESTAMP)"
+        as_of = spark.sql(f"SELECT CAST({instant} AS STRING)").first()[0]
         lenient = self.lenient_timestamps
         if lenient is None:
             lenient = spark.conf.get("spark.sql.ansi.enabled", "true").lower() != "true"
         return replace(self, as_of=as_of, lenient_timestamps=lenient)
 
     @property
-    def now(self) -> Column:
-        return F.lit(self.as_of).cast("timestamp")
+    def now(self) -> str:
+        """The clock of resolved settings as a SQL literal."""
+        return f"TIMESTAMP '{self.as_of}'"
 
     @property
-    def today(self) -> Column:
-        return F.to_date(self.now)
+    def today(self) -> str:
+        return f"DATE '{self.as_of[:10]}'"
 
     @property
     def title(self) -> str:

@@ -6,9 +6,9 @@ from collections.abc import Callable, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from vaultgauge.functions.naming import quoted, table_kind
+from vaultgauge.functions.naming import table_kind
+from vaultgauge.functions.sqltext import quoted, literal
 from vaultgauge.rules import OTHER
 from vaultgauge.settings import Settings
 
@@ -28,6 +28,7 @@ class Vault:
         self.names = names
         self.qualifier = qualifier
         self._open = open_table
+        self._opened: dict[str, DataFrame] = {}
         self._column_names = column_names
 
     @classmethod
@@ -53,17 +54,18 @@ class Vault:
     @classmethod
     def from_paths(cls, spark: SparkSession, paths: Mapping[str, str], file_format: str = "parquet") -> Vault:
         """Tables stored as files, one path per table; any format the session can read."""
-        opened: dict[str, DataFrame] = {}
-
-        def open_table(name):
-            if name not in opened:
-                opened[name] = spark.read.format(file_format).load(paths[name])
-            return opened[name]
-
-        return cls(spark, list(paths), open_table, lambda name: open_table(name).columns)
+        vault = cls(
+            spark,
+            list(paths),
+            lambda name: spark.read.format(file_format).load(paths[name]),
+            lambda name: vault.table(name).columns,
+        )
+        return vault
 
     def table(self, name: str) -> DataFrame:
-        return self._open(name)
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
 
     def metadata(self, settings: Settings) -> DataFrame:
         """position, source_name, column_names: one row per table. Columns are listed for vault tables only."""
@@ -76,7 +78,7 @@ class Vault:
                 schema=schema,
             )
         )
-        kept = listed.filter(table_kind(F.upper("source_name"), settings.prefixes) != OTHER).collect()
+        kept = listed.filter(f"{table_kind('upper(source_name)', settings.prefixes)} <> {literal(OTHER)}").collect()
         return self.spark.createDataFrame(
             pa.table(
                 [
