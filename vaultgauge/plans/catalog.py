@@ -22,13 +22,28 @@ class EmptyVaultError(Exception):
     """The database holds no hub, link or satellite."""
 
 
+def all_columns(vault: Vault) -> DataFrame:
+    """Every table of the database with its columns in order, upper-cased."""
+    return vault.columns_of(list(range(len(vault.names)))).selectExpr(
+        "upper(source_name) AS table_name", "posexplode(transform(column_names, c -> upper(c))) AS (ordinal, column_name)"
+    )
+
+
+def classified(listing: DataFrame, settings: Settings) -> DataFrame:
+    """Every listed table with its kind."""
+    return listing.selectExpr("*", "upper(source_name) AS table_name").selectExpr(
+        "*", f"{naming.table_kind('table_name', settings.prefixes)} AS table_type"
+    )
+
+
 def catalog(vault: Vault, settings: Settings) -> DataFrame:
-    """One row per vault table: kind, upper-cased columns, audit columns, hash keys and own key."""
+    """One row per vault table: kind, upper-cased columns, audit columns, hash keys and own key. Columns are listed
+    for vault tables only."""
+    listed = classified(vault.listing(), settings).filter(f"table_type <> {literal(rules.OTHER)}")
+    columns = vault.columns_of([r.position for r in listed.collect()])
     tables = (
-        vault.metadata(settings)
-        .selectExpr("*", "upper(source_name) AS table_name", "transform(column_names, c -> upper(c)) AS columns")
-        .selectExpr("*", f"{naming.table_kind('table_name', settings.prefixes)} AS table_type")
-        .filter(f"table_type <> {literal(rules.OTHER)}")
+        classified(columns, settings)
+        .selectExpr("*", "transform(column_names, c -> upper(c)) AS columns")
         .selectExpr(
             "*",
             f"{naming.hash_keys('columns')} AS hk_columns",

@@ -182,7 +182,8 @@ def _results(spark: SparkSession, plan: Plan, outcomes: dict[Slot, Outcome]) ->
         ]
     )
     rows = []
-    for spec in plan.specs:
+    for seq, spec in enumerate(plan.specs, start=1):
         value, error = outcomes[(spec.table_name, spec.slot)]
-        rows.append({**{k: spec[k] for k in schema.names if k not in ("value", "error")}, "value": value, "error": error})
+        given = {name: spec[name] for name in schema.names if name in spec}
+        rows.append({**given, "seq": seq, "value": value, "error": error})
     return with_status(spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema)))

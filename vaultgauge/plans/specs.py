@@ -61,7 +61,7 @@ def _filled(template: str, values: dict[str, str]) -> str:
 
 
 def check_specs(tables: DataFrame, references: DataFrame, settings: Settings, qualifier: str = "") -> DataFrame:
-    """One row per check to run. `slot` names the check within its table, `seq` gives the order of generation."""
+    """One row per check to run. `slot` names the check within its table, `generation_order` is theirs."""
     # A check of the table itself sees the parent of a satellite; a check per foreign key sees that key and its parent.
     of_satellites = references.filter("table_type = 'SAT'").drop("table_type", "position", "reference_no")
     of_links = references.filter("table_type = 'LINK'").drop("table_type", "position")
@@ -107,7 +107,7 @@ def check_specs(tables: DataFrame, references: DataFrame, settings: Settings, qu
         },
     }
     return checks.selectExpr(
-        "position * 10000000L + stage * 100000 + reference_no * 100 + rank AS seq",
+        "position * 10000000L + stage * 100000 + reference_no * 100 + rank AS generation_order",
         "category",
         "table_name",
         "source_name",

@@ -7,10 +7,7 @@ from collections.abc import Callable, Mapping
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultgauge.functions.naming import table_kind
-from vaultgauge.functions.sqltext import quoted, literal
-from vaultgauge.rules import OTHER
-from vaultgauge.settings import Settings
+from vaultgauge.functions.sqltext import quoted
 
 
 class Vault:
@@ -67,25 +64,26 @@ class Vault:
             self._opened[name] = self._open(name)
         return self._opened[name]
 
-    def metadata(self, settings: Settings) -> DataFrame:
-        """position, source_name, column_names: one row per table. Columns are listed for vault tables only."""
-        schema = pa.schema(
-            [("position", pa.int64()), ("source_name", pa.string()), ("column_names", pa.list_(pa.string()))]
-        )
-        listed = self.spark.createDataFrame(
+    def listing(self) -> DataFrame:
+        """position, source_name: every table of the database, in catalog order."""
+        return self.spark.createDataFrame(
             pa.table(
-                [list(range(len(self.names))), self.names, [None] * len(self.names)],
-                schema=schema,
+                {
+                    "position": pa.array(range(len(self.names)), pa.int64()),
+                    "source_name": pa.array(self.names, pa.string()),
+                }
             )
         )
-        kept = listed.filter(f"{table_kind('upper(source_name)', settings.prefixes)} <> {literal(OTHER)}").collect()
+
+    def columns_of(self, positions: list[int]) -> DataFrame:
+        """position, source_name, column_names: one row per given table."""
+        names = [self.names[p] for p in positions]
         return self.spark.createDataFrame(
             pa.table(
-                [
-                    [r.position for r in kept],
-                    [r.source_name for r in kept],
-                    [self._column_names(r.source_name) for r in kept],
-                ],
-                schema=schema,
+                {
+                    "position": pa.array(positions, pa.int64()),
+                    "source_name": pa.array(names, pa.string()),
+                    "column_names": pa.array([self._column_names(n) for n in names], pa.list_(pa.string())),
+                }
             )
         )
