@@ -1,0 +1,178 @@
+"""Row, clock, volume and source checks of one table."""
+
+import datetime as dt
+import random
+from dataclasses import replace
+
+import pytest
+
+from tests.conftest import plan_of
+from vaultgauge.operators.profile import KEY_BYTES, ROWS, profile, profile_slots
+from vaultgauge.operators.target import Target
+
+TARGET = Target("SAT_A", "sat_a", "SAT", "A_HK", "LD", "RS", "HD", ("A_HK",), {"A_HK": None})
+NOW = dt.datetime(2024, 1, 30, 12)
+SCHEMA = "a_hk string, ld timestamp, hd string, rs string"
+
+
+def values(df, settings, wanted=None, target=TARGET):
+    return {r.slot: r.value for r in profile(df, target, wanted or profile_slots(target), settings).collect()}
+
+
+def errors(df, settings, target=TARGET):
+    return {r.slot: r.error for r in profile(df, target, profile_slots(target), settings).collect() if r.error}
+
+
+def loads(spark, *times):
+    return spark.createDataFrame([("k", t, "h", "s") for t in times], SCHEMA)
+
+
+def test_empty_table(spark, settings):
+    df = spark.createDataFrame([], SCHEMA)
+    assert set(values(df, settings, profile_slots(TARGET) | {ROWS, KEY_BYTES}).values()) == {0}
+
+
+def test_all_null(spark, settings):
+    found = values(spark.createDataFrame([(None,) * 4] * 3, SCHEMA), settings)
+    assert {s: v for s, v in found.items() if v} == {"S1": 3, "S4": 3, "T1": 3, "T3": 3, "T4": 3, "R1": 1}
+
+
+@pytest.mark.parametrize(
+    "latest, stale",
+    [(NOW - dt.timedelta(hours=48), 0), (NOW - dt.timedelta(hours=48, microseconds=1), 1), (NOW + dt.timedelta(days=9), 0)],
+)
+def test_stale_boundary(spark, settings, latest, stale):
+    df = loads(spark, latest, NOW - dt.timedelta(days=400), None)
+    assert values(df, settings)["F1"] == stale
+    assert values(df, settings, ["F1"]) == {"F1": stale}
+
+
+def test_future_and_age(spark, settings):
+    found = values(loads(spark, NOW, NOW + dt.timedelta(microseconds=1), NOW - dt.timedelta(days=10, hours=13), None), settings)
+    assert (found["T2"], found["F2"], found["F3"]) == (1, 1, 11)
+    assert values(loads(spark, NOW + dt.timedelta(days=2)), settings)["F3"] == -2
+
+
+@pytest.mark.parametrize("top, total, single", [(9899, 10000, 0), (99, 100, 1), (9900, 10000, 1), (100, 100, 1)])
+def test_share_of_the_top_source(spark, settings, top, total, single):
+    df = spark.range(total).selectExpr(
+        "'k' AS a_hk", "TIMESTAMP '2024-01-30 00:00:00' AS ld", "'h' AS hd",
+        f"CASE WHEN id < {top} THEN 'a' WHEN id % 2 = 0 THEN 'b' END AS rs",
+    )
+    assert values(df, settings)["R1"] == single
+
+
+def test_null_source_is_a_group_but_no_source(spark, settings):
+    df = spark.createDataFrame([("k", NOW, "h", None)] * 99 + [("k", NOW, "h", "a")], SCHEMA)
+    found = values(df, settings)
+    assert (found["R1"], found["R2"], found["T3"]) == (1, 1, 99)
+
+
+def spike(spark, settings, today, **per_day):
+    times = [NOW] * today
+    for ago, n in per_day.items():
+        times += [NOW.replace(hour=0) - dt.timedelta(days=int(ago[1:]))] * n
+    found = values(loads(spark, *times), settings)
+    assert values(loads(spark, *times), settings, ["V2"]) == {"V2": found["V2"]}
+    return found["V2"]
+
+
+def test_spike(spark, settings):
+    assert spike(spark, settings, 50) == 0  # no history
+    assert spike(spark, settings, 5, d1=1) == 0  # not above five times
+    assert spike(spark, settings, 6, d1=1) == 1
+    assert spike(spark, settings, 6, d8=1) == 1  # the eighth day still counts
+    assert spike(spark, settings, 6, d9=1) == 0  # the ninth does not
+    assert spike(spark, settings, 11, d1=1, d8=3) == 1  # average over days that have rows
+    assert spike(spark, settings, 10, d1=1, d8=3) == 0
+    assert spike(spark, settings, 6, **{f"d{n}": 1 for n in range(1, 9)}) == 1
+    assert spike(spark, settings, 0, d1=1) == 0
+
+
+def test_zero_today(spark, settings):
+    day = dt.timedelta(days=1)
+    midnight = NOW.replace(hour=0)
+    assert values(loads(spark, NOW - day), settings)["V1"] == 1
+    assert values(loads(spark, NOW - 2 * day), settings)["V1"] == 0
+    assert values(loads(spark, NOW - day, midnight), settings)["V1"] == 0
+    assert values(loads(spark, midnight - dt.timedelta(microseconds=1), midnight + day), settings, ["V1"])["V1"] == 1
+
+
+def test_types_of_load_time(spark, settings):
+    df = loads(spark, NOW - dt.timedelta(days=1), NOW, NOW + dt.timedelta(days=3), None)
+    as_timestamp = values(df, settings)
+    for kind in ("timestamp_ntz", "string"):
+        assert values(df.withColumn("ld", df.ld.cast(kind)), settings) == as_timestamp
+        assert values(df.withColumn("ld", df.ld.cast(kind)), settings, ["V1", "V3"]) == {"V1": 0, "V3": 1}
+    as_date = values(df.withColumn("ld", df.ld.cast("date")), settings)
+    assert as_date == as_timestamp
+
+
+def test_text_that_is_no_time(spark, settings):
+    df = spark.createDataFrame(
+        [("k", "2024-01-30 01:00:00", "h", "s"), ("k", "soon", "h", "s"), ("k", None, "h", "s")],
+        "a_hk string, ld string, hd string, rs string",
+    )
+    assert set(errors(df, settings)) == {"T2", "F1", "F2", "F3", "V1", "V2", "V3"}
+    assert "1 value(s) of column LD" in errors(df, settings)["F3"]
+    assert values(df, settings)["T1"] == 1
+    lenient = replace(settings, lenient_timestamps=True)
+    assert errors(df, lenient) == {}
+    assert values(df, lenient)["V3"] == 1
+
+
+def test_numbers_are_no_load_time(spark, settings):
+    df = spark.range(3).selectExpr("'k' AS a_hk", "id AS ld", "'h' AS hd", "'s' AS rs")
+    found = errors(df, settings)
+    assert set(found) == {"T2", "F1", "F2", "F3", "V1", "V2", "V3"}
+    assert found["T2"].startswith("DATATYPE_MISMATCH")
+    assert values(df, settings)["T4"] == 3
+
+
+def test_key_bytes(spark, settings):
+    df = spark.createDataFrame([("ab",), ("é",), (None,)], "a_hk string")
+    target = TARGET._replace(load_dts=None, record_source=None, hash_diff=None)
+    assert values(df, settings, [KEY_BYTES, ROWS], target) == {KEY_BYTES: 4, ROWS: 3}
+    assert values(df.selectExpr("1 AS a_hk"), settings, [KEY_BYTES], target) == {KEY_BYTES: 48}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_single_slots_equal_the_whole_profile_and_brute_force(spark, settings, seed):
+    r = random.Random(seed)
+    rows = [
+        (
+            r.choice([None, "a", "b"]),
+            r.choice([None, NOW - dt.timedelta(hours=r.uniform(-60, 260))]),
+            r.choice([None, "x", "y"]),
+            r.choice([None, "s", "t"]),
+        )
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = values(df, settings)
+    today = NOW.date()
+    times = [x[1] for x in rows if x[1]]
+    assert whole["S1"] == sum(x[0] is None for x in rows)
+    assert whole["T2"] == sum(t > NOW for t in times)
+    assert whole["F3"] == (today - min(times).date()).days
+    assert whole["V3"] == sum(t.date() == today for t in times)
+    per_day = {}
+    for t in times:
+        per_day[(today - t.date()).days] = per_day.get((today - t.date()).days, 0) + 1
+    prior = [n for d, n in per_day.items() if 1 <= d <= 8]
+    assert whole["V2"] == int(bool(prior) and per_day.get(0, 0) > 5 * sum(prior) / len(prior))
+    for slot, value in whole.items():
+        assert values(df, settings, [slot]) == {slot: value}
+
+
+def test_one_scan_and_no_python(spark, settings, tmp_path):
+    loads(spark, NOW).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = plan_of(profile(df, TARGET, profile_slots(TARGET), settings))
+    tree = plan.split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1
+    assert "Join" not in tree and "Python" not in tree and "Sort" not in tree and "Window" not in tree
+    pruned = plan_of(profile(df, TARGET, ["V1", "V2", "V3"], settings))
+    assert "GreaterThanOrEqual(ld,2024-01-2" in pruned
+    assert "ReadSchema: struct<ld:timestamp>" in pruned
+    assert "PushedFilters: [IsNull(a_hk)]" in plan_of(profile(df, TARGET, ["S1"], settings))

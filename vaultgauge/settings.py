@@ -44,7 +44,7 @@ class Settings:
     # Children that share one shuffle with their parent; more children take another round.
     children_per_round: int = 8
     # Tables of at least this many rows look for duplicates by 64-bit hash first.
-    hash_first_rows: int = 500_000_000
+    hash_first_rows: int = 100_000_000
 
     def resolved(self, spark: SparkSession) -> Settings:
         """The same settings with clock and cast mode fixed for one run."""
