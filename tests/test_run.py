@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import TESTDATA
 from vaultgauge import Settings, Vault, validate
+from vaultgauge.__main__ import main as main_command
 from vaultgauge.plans import runner
 from vaultgauge.plans.passes import make_plan
 from vaultgauge.sinks.report import run_line, write_document, write_tables
@@ -136,6 +137,15 @@ def test_unreadable_table_spoils_its_own_checks_only(spark, settings, tmp_path):
     assert "ERROR" not in {status for (table, _), (status, _) in found.items() if table == "HUB_A"}
 
 
+def test_table_without_readable_columns(spark, settings, tmp_path):
+    spark.createDataFrame([("k", None, "s")], HUB).write.parquet(str(tmp_path / "hub"))
+    vault = Vault.from_paths(spark, {"hub_a": str(tmp_path / "hub"), "sat_a": str(tmp_path / "nothing")})
+    results = validate(vault, settings).results.collect()
+    assert [(r.check_id, r.status) for r in results if r.table_name == "SAT_A"] == [("T4", "ERROR")]
+    assert "PATH_NOT_FOUND" in [r.error for r in results if r.table_name == "SAT_A"][0]
+    assert all(r.status != "ERROR" for r in results if r.table_name == "HUB_A")
+
+
 @pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_missing_parent_spoils_the_orphan_check_only(spark, settings, limit):
     sat = spark.createDataFrame([("k", None, "s")], HUB)
@@ -207,6 +217,22 @@ def test_database(spark, settings, tmp_path):
         spark.sql("DROP DATABASE raw_vault CASCADE")
 
 
+def test_command(spark, tmp_path, capsys):
+    spark.sql(f"CREATE DATABASE vault_of_command LOCATION '{tmp_path / 'db'}'")
+    spark.createDataFrame([("k", None, "s"), (None, None, "s")], HUB).write.saveAsTable("vault_of_command.hub_a")
+    try:
+        out = tmp_path / "out"
+        main_command(["--database", "vault_of_command", "--output", str(out), "--stale-hours", "6", "--as-of", "2024-01-30"])
+        printed = capsys.readouterr().out
+        assert "vault_of_command.json" in printed and "of 14 checks on 1 tables (1 HUB / 0 LINK / 0 SAT)" in printed
+        document = json.loads(spark.read.text(f"{out}/dv_validation_report_vault_of_command.json").first().value)
+        assert document["schema_label"] == "vault_of_command" and document["report_title"] == "VAULT_OF_COMMAND"
+        names = {r.check_name for r in spark.read.parquet(f"{out}/check_results").collect()}
+        assert "No new records in last 6h (stale pipeline)" in names
+    finally:
+        spark.sql("DROP DATABASE vault_of_command CASCADE")
+
+
 def test_paths(spark, settings, tmp_path):
     df = spark.createDataFrame([("k", None, "s")], HUB)
     df.write.orc(str(tmp_path / "h"))

@@ -22,8 +22,8 @@ BYTES_PER_HASH = 64  # in a broadcast hash table, with its overhead
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One shuffle on all the keys. Copies collapse before it, so a key with most of the rows is one row per task."""
-    copies = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(F.count(F.lit(1)).alias("copies"))
-    return copies.agg(F.count_if(F.col("copies") > 1).alias("value"))
+    copies = df.groupBy(*map(quoted, keys)).agg(F.expr("count(*) AS copies"))
+    return copies.selectExpr("count(CASE WHEN copies > 1 THEN 1 END) AS value")
 
 
 def can_hash_first(df: DataFrame, keys: Sequence[str]) -> bool:
@@ -37,23 +37,16 @@ def duplicate_groups_hash_first(df: DataFrame, keys: Sequence[str], broadcast_by
     The first round shuffles one 64-bit hash per row instead of the wide keys and keeps the hashes seen twice. Only
     rows with such a hash can be duplicates (or a collision of hashes), so the second round groups those rows by
     their full keys. With no such hash there is no second round; with too many to broadcast, all rows are grouped.
+    The hashes are written once, eight bytes each, so that counting and broadcasting them repeats no work.
     """
-    hash_of_keys = F.xxhash64(*[F.col(quoted(k)) for k in keys])
-    repeated = (
-        df.select(hash_of_keys.alias("key_hash"))
-        .groupBy("key_hash")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .filter(F.col("copies") > 1)
-        .select("key_hash")
-    )
-    repeated = stored(repeated)
+    columns = [quoted(k) for k in keys]
+    hash_of_keys = f"xxhash64({', '.join(columns)}) AS key_hash"
+    copies = df.selectExpr(hash_of_keys).groupBy("key_hash").agg(F.expr("count(*) AS copies"))
+    repeated = stored(copies.filter("copies > 1").select("key_hash"))
     found = repeated.count()
     if found == 0:
-        return df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("value"))
+        return df.sparkSession.range(1).selectExpr("0L AS value")
     if found * BYTES_PER_HASH > broadcast_bytes:
         return duplicate_groups(df, keys)
-    suspects = (
-        df.select(*[F.col(quoted(k)) for k in keys], hash_of_keys.alias("key_hash"))
-        .join(F.broadcast(repeated), "key_hash", "left_semi")
-    )
+    suspects = df.selectExpr(*dict.fromkeys(columns), hash_of_keys).join(F.broadcast(repeated), "key_hash", "left_semi")
     return duplicate_groups(suspects, keys)

@@ -56,16 +56,15 @@ def shared_key_figures(parent: DataFrame, key: str, children: Sequence[Child]) -
     origins = [(parent, key)] + [(c.frame, c.key) for c in children]
     keys = reduce(
         DataFrame.unionAll,
-        [frame.select(F.col(quoted(name)).alias("key"), F.lit(n).alias("origin")) for n, (frame, name) in enumerate(origins)],
+        [frame.selectExpr(f"{quoted(name)} AS key", f"{n} AS origin") for n, (frame, name) in enumerate(origins)],
     )
     per_key = keys.groupBy("key").agg(
-        *[F.count_if(F.col("origin") == n).alias(f"rows_{n}") for n in range(len(origins))]
+        *[F.expr(f"count(CASE WHEN origin = {n} THEN 1 END) AS rows_{n}") for n in range(len(origins))]
     )
-    unknown = F.col("key").isNull() | (F.col("rows_0") == 0)
-    return per_key.agg(
-        F.count_if(F.col("rows_0") > 1).alias("duplicate_groups"),
+    return per_key.selectExpr(
+        "count(CASE WHEN rows_0 > 1 THEN 1 END) AS duplicate_groups",
         *[
-            F.coalesce(F.sum(F.when(unknown, F.col(f"rows_{n}"))), F.lit(0)).alias(f"orphans_{n}")
+            f"coalesce(sum(CASE WHEN key IS NULL OR rows_0 = 0 THEN rows_{n} END), 0) AS orphans_{n}"
             for n in range(1, len(origins))
         ],
     )

@@ -98,7 +98,7 @@ def _key_passes(vault: Vault, plan: Plan, settings: Settings, outcomes: dict[Slo
     children and the parent in one grouping by key, which also finds the parent's duplicate keys.
     """
     limit = settings.broadcast_key_bytes
-    if int(vault.spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) < 0:
+    if vault.spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
         limit = -1  # broadcasts are switched off in this session
 
     def measured(table, what):
