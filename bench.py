@@ -40,6 +40,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "1000")  # a run has more generated classes than the default 100
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -57,26 +57,30 @@ def catalog(vault: Vault, settings: Settings) -> DataFrame:
     return tables.selectExpr("*", f"{naming.own_key('conventional_hk', 'hk_columns')} AS own_hk", *audit_columns)
 
 
-def references(tables: DataFrame, settings: Settings) -> DataFrame:
-    """One row per foreign key of a link and per parent key of a satellite, with the table that owns the key.
+# Expression: the foreign keys of a link, the parent key of a satellite.
+REFERENCED_KEYS = """CASE table_type WHEN 'LINK' THEN filter(hk_columns, k -> k <> own_hk)
+                                     WHEN 'SAT' THEN array_compact(array(own_hk)) END"""
+
 
-    Of several owners of a key the last one counts, and links come after hubs.
-    """
-    owners = tables.filter("table_type IN ('HUB', 'LINK') AND own_hk IS NOT NULL")
+def owners(tables: DataFrame, settings: Settings) -> DataFrame:
+    """One row per hash key that a hub or link is keyed on, with that table. Of several such tables the last one
+    counts, and links come after hubs."""
+    found = tables.filter("table_type IN ('HUB', 'LINK') AND own_hk IS NOT NULL")
     if settings.strict_parents:
-        owners = owners.filter("own_hk = conventional_hk")
-    owners = owners.groupBy(F.expr("own_hk AS key_column")).agg(
-        F.expr("max_by(struct(table_name, source_name), struct(table_type = 'LINK', position)) AS owner")
-    )
-    keys = """CASE table_type WHEN 'LINK' THEN filter(hk_columns, k -> k <> own_hk)
-                              WHEN 'SAT' THEN array_compact(array(own_hk)) END"""
+        found = found.filter("own_hk = conventional_hk")
+    last = "max_by(struct(table_name, source_name), struct(table_type = 'LINK', position))"
     return (
-        tables.selectExpr("position", "table_type", "table_name", f"posexplode({keys}) AS (reference_no, key_column)")
-        .join(owners, "key_column", "left")
-        .selectExpr(
-            "position", "table_type", "table_name", "reference_no", "key_column",
-            "owner.table_name AS parent_name", "owner.source_name AS parent_source_name",
-        )
+        found.groupBy(F.expr("own_hk AS key_column"))
+        .agg(F.expr(f"{last} AS owner"))
+        .selectExpr("key_column", "owner.table_name AS parent_name", "owner.source_name AS parent_source_name")
+    )
+
+
+def references(tables: DataFrame, settings: Settings) -> DataFrame:
+    """One row per foreign key of a link and per parent key of a satellite, with the table that owns the key."""
+    keys = tables.selectExpr("table_name", f"posexplode({REFERENCED_KEYS}) AS (reference_no, key_column)")
+    return keys.join(owners(tables, settings), "key_column", "left").select(
+        "table_name", "reference_no", "key_column", "parent_name"
     )
 
 

@@ -35,8 +35,7 @@ def make_plan(vault: Vault, settings: Settings) -> Plan:
     tables = catalog_plan.catalog(vault, settings)
     rows = tables.collect()
     catalog_plan.require_tables(rows, vault, settings)
-    references = catalog_plan.references(tables, settings)
-    specs = sorted(check_specs(tables, references, settings, vault.qualifier).collect(), key=lambda s: s.generation_order)
+    specs = sorted(check_specs(tables, settings, vault.qualifier).collect(), key=lambda s: s.generation_order)
     targets = {
         r.table_name: Target(
             r.table_name, r.source_name, r.table_type, r.own_hk, r.load_dts_col, r.record_source_col, r.hash_diff_col,

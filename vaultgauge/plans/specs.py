@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vaultgauge import rules
 from vaultgauge.functions.sqltext import literal, quoted_where_needed
+from vaultgauge.plans.catalog import REFERENCED_KEYS, owners
 from vaultgauge.settings import Settings
 
 
@@ -60,23 +61,24 @@ def _filled(template: str, values: dict[str, str]) -> str:
     return reduce(lambda text, v: f"replace({text}, {literal('{' + v[0] + '}')}, {v[1]})", values.items(), template)
 
 
-def check_specs(tables: DataFrame, references: DataFrame, settings: Settings, qualifier: str = "") -> DataFrame:
+def check_specs(tables: DataFrame, settings: Settings, qualifier: str = "") -> DataFrame:
     """One row per check to run. `slot` names the check within its table, `generation_order` is theirs."""
     # A check of the table itself sees the parent of a satellite; a check per foreign key sees that key and its parent.
-    of_satellites = references.filter("table_type = 'SAT'").drop("table_type", "position", "reference_no")
-    of_links = references.filter("table_type = 'LINK'").drop("table_type", "position")
-    per_table = tables.selectExpr("*", "false AS per_reference", "0 AS reference_no").join(
-        of_satellites, "table_name", "left"
-    )
-    per_reference = tables.selectExpr("*", "true AS per_reference").join(of_links, "table_name")
+    itself = """named_struct('per_reference', false, 'reference_no', 0,
+                             'key_column', CASE WHEN table_type = 'SAT' THEN own_hk END)"""
+    foreign_keys = f"CASE WHEN table_type = 'LINK' THEN {REFERENCED_KEYS} ELSE array() END"
+    per_key = "(k, n) -> named_struct('per_reference', true, 'reference_no', n, 'key_column', k)"
+    targets = tables.selectExpr(
+        "*", f"inline(array_append(transform({foreign_keys}, {per_key}), {itself}))"
+    ).join(owners(tables, settings), "key_column", "left")
     present = ", ".join(
         f"CASE WHEN {c} IS NOT NULL THEN {literal(c)} END"
         for c in (rules.OWN_KEY, rules.PARENT, "load_dts_col", "record_source_col", "hash_diff_col")
     )
     any_key = f"CASE WHEN size(hk_columns) > 0 THEN {literal(rules.ANY_KEY)} END"
     checks = (
-        per_table.unionByName(per_reference)
-        .join(F.broadcast(_registry(tables.sparkSession, settings)), ["table_type", "per_reference"])
+        # The registry has one row per check template and table kind.
+        targets.join(F.broadcast(_registry(tables.sparkSession, settings)), ["table_type", "per_reference"])
         .filter(f"size(array_except(needs, array({present}, {any_key}))) = 0")
     )
 

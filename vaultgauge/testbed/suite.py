@@ -108,7 +108,7 @@ def _own_key(vault: Vault, settings: Settings) -> DataFrame:
 
 def _parents(vault: Vault, settings: Settings) -> DataFrame:
     tables = catalog_plan.catalog(vault, settings)
-    return catalog_plan.references(tables, settings).select("table_name", "reference_no", "key_column", "parent_name")
+    return catalog_plan.references(tables, settings)
 
 
 def _diagnostics(vault: Vault, settings: Settings) -> DataFrame:
@@ -118,9 +118,7 @@ def _diagnostics(vault: Vault, settings: Settings) -> DataFrame:
 
 
 def _check_specs(vault: Vault, settings: Settings) -> DataFrame:
-    tables = catalog_plan.catalog(vault, settings)
-    specs = check_specs(tables, catalog_plan.references(tables, settings), settings)
-    return specs.selectExpr(
+    return check_specs(catalog_plan.catalog(vault, settings), settings).selectExpr(
         "table_name", "table_type", "category", "check_id", "check_name", "kind",
         "row_number() OVER (PARTITION BY table_name ORDER BY generation_order) AS check_no",
     )
