@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tests.conftest import TESTDATA
+from tests.conftest import TESTDATA, plan_of
 from vaultgauge.testbed import suite
 
 SF = f"{TESTDATA}/sf0.001"
@@ -48,6 +48,8 @@ def test_same_rows(spark, duck, name):
     df = QUERIES[name](spark, SF)
     relation = duck.sql(ORACLE[name])
     columns = sorted(df.columns)
+    plan = plan_of(df)
+    assert not any(node in plan for node in ("CartesianProduct", "NestedLoop", "Python", "Pandas"))
     assert columns == sorted(relation.columns)
     order = [relation.columns.index(c) for c in columns]
     expected = [tuple(row[i] for i in order) for row in relation.fetchall()]

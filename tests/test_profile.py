@@ -9,6 +9,7 @@ import pytest
 from tests.conftest import plan_of
 from vaultgauge.operators.profile import KEY_BYTES, ROWS, profile, profile_slots
 from vaultgauge.operators.target import Target
+from vaultgauge.settings import Settings
 
 TARGET = Target("SAT_A", "sat_a", "SAT", "A_HK", "LD", "RS", "HD", ("A_HK",), {"A_HK": None})
 NOW = dt.datetime(2024, 1, 30, 12)
@@ -176,3 +177,28 @@ def test_one_scan_and_no_python(spark, settings, tmp_path):
     assert "GreaterThanOrEqual(ld,2024-01-2" in pruned
     assert "ReadSchema: struct<ld:timestamp>" in pruned
     assert "PushedFilters: [IsNull(a_hk)]" in plan_of(profile(df, TARGET, ["S1"], settings))
+
+
+def test_days_in_a_zone_with_summer_time(spark):
+    """Day limits agree with to_date, also around the change of clocks on 2024-03-10 and for times without zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        settings = Settings(as_of="2024-03-11 12:00:00", lenient_timestamps=False).resolved(spark)
+        df = spark.range(0, 24 * 14 * 4).selectExpr(
+            "'k' AS a_hk", "TIMESTAMP '2024-02-28 00:07:00' + make_dt_interval(0, 0, 15 * id) AS ld", "'h' AS hd", "'s' AS rs"
+        )
+        for kind in ("timestamp", "timestamp_ntz", "string", "date"):
+            typed = df.withColumn("ld", df.ld.cast(kind))
+            days = {
+                r.d: r.n
+                for r in typed.selectExpr("datediff(DATE '2024-03-11', to_date(CAST(ld AS TIMESTAMP))) AS d")
+                .groupBy("d").agg({"*": "count"}).toDF("d", "n").collect()
+            }
+            found = values(typed, settings)
+            assert found["V3"] == days[0] == values(typed, settings, ["V3"])["V3"]
+            sudden = typed.filter("to_date(CAST(ld AS TIMESTAMP)) = DATE '2024-03-10'")
+            assert values(sudden, settings, ["V1", "V3"]) == {"V1": 1, "V3": 0}
+            assert found["F3"] == max(days)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from vaultgauge.functions.clock import column_type
+from vaultgauge.functions.storage import can_store
 from vaultgauge.operators.grain import can_hash_first, duplicate_groups, duplicate_groups_hash_first
 from vaultgauge.operators.orphans import Child, orphan_rows, shared_key_figures
 from vaultgauge.operators.profile import profile, profile_slots
@@ -82,7 +83,7 @@ def profile_frame(vault: Vault, target: Target, slots: Iterable[str], settings:
 def grain_frame(vault: Vault, target: Target, slot: str, settings: Settings, hash_first: bool = False) -> DataFrame:
     df = vault.table(target.source_name)
     keys = grain_keys(target, slot)
-    if hash_first and can_hash_first(df, keys):
+    if hash_first and can_hash_first(df, keys) and can_store(vault.spark):
         groups = duplicate_groups_hash_first(df, keys, settings.broadcast_key_bytes)
     else:
         groups = duplicate_groups(df, keys)
