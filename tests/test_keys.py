@@ -2,10 +2,12 @@
 
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 
 from tests.conftest import plan_of
+from vaultgauge.functions.storage import can_store
 from vaultgauge.operators.grain import can_hash_first, duplicate_groups, duplicate_groups_hash_first
 from vaultgauge.operators.orphans import Child, fits_broadcast, orphan_rows, shared_key_figures
 
@@ -27,7 +29,8 @@ def test_duplicates(spark, seed):
     expected = sum(n > 1 for n in Counter(rows).values())
     assert value(duplicate_groups(df, ["a", "b"])) == expected
     assert can_hash_first(df, ["a", "b"])
-    for limit in (1 << 20, 0):  # second round over suspects; over all rows
+    # Second round over the rows of marked places; over all rows, as most of eight places are marked; no first round.
+    for limit in (1 << 20, 64 * 8, 0):
         assert value(duplicate_groups_hash_first(df, ["a", "b"], limit)) == expected
 
 
@@ -44,6 +47,12 @@ def test_equal_hashes_are_not_equal_keys(spark):
     assert value(duplicate_groups_hash_first(df, ["a", "b"], 1 << 20)) == 0
 
 
+def test_rows_at_a_marked_place_by_chance(spark):
+    # One duplicate among a thousand keys on five places.
+    df = frame(spark, [*map(str, range(1000)), "7"])
+    assert value(duplicate_groups_hash_first(df, ["k"], 64 * 5)) == 1
+
+
 def test_no_duplicates_and_no_rows(spark):
     assert value(duplicate_groups_hash_first(frame(spark, ["a", "b", None]), ["k"], 1 << 20)) == 0
     empty = frame(spark, [])
@@ -51,6 +60,17 @@ def test_no_duplicates_and_no_rows(spark):
     assert value(duplicate_groups_hash_first(empty, ["k"], 1 << 20)) == 0
 
 
+def test_a_cluster_needs_a_checkpoint_folder(tmp_path):
+    def session(master, given, set_before=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: set_before)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: given or default))
+
+    assert can_store(session("local[8]", None))
+    assert can_store(session("yarn", "/shared"))
+    assert can_store(session("yarn", None, "/shared"))
+    assert not can_store(session("yarn", None))
+
+
 def test_floating_keys_are_not_hashed(spark):
     assert not can_hash_first(spark.range(1).selectExpr("CAST(id AS DOUBLE) AS k"), ["k"])
 

@@ -17,7 +17,8 @@ HASHABLE = (
     T.StringType, T.BinaryType, T.BooleanType, T.IntegralType, T.DecimalType,
     T.DateType, T.TimestampType, T.TimestampNTZType,
 )
-BYTES_PER_HASH = 64  # in a broadcast hash table, with its overhead
+BYTES_PER_PLACE = 64  # in a broadcast hash table, with its overhead
+LARGEST_MARKED_SHARE = 0.25  # beyond this share of places, picking rows saves less than it costs
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -34,19 +35,25 @@ def can_hash_first(df: DataFrame, keys: Sequence[str]) -> bool:
 def duplicate_groups_hash_first(df: DataFrame, keys: Sequence[str], broadcast_bytes: int) -> DataFrame:
     """The same number for large tables with few duplicates.
 
-    The first round shuffles one 64-bit hash per row instead of the wide keys and keeps the hashes seen twice. Only
-    rows with such a hash can be duplicates (or a collision of hashes), so the second round groups those rows by
-    their full keys. With no such hash there is no second round; with too many to broadcast, all rows are grouped.
-    The hashes are written once, eight bytes each, so that counting and broadcasting them repeats no work.
+    The first round shuffles one 64-bit hash per row instead of the wide keys and marks the places (hash modulo a fixed
+    number) of hashes that occur twice. Rows at other places cannot be duplicates, so the second round groups the rows
+    at marked places by their full keys; rows that are there by chance change nothing. With no marked place there is no
+    second round; with too many of them all rows are grouped.
+    The number of places, and so the size of what is stored and broadcast, follows from `broadcast_bytes` alone.
     """
+    places = broadcast_bytes // BYTES_PER_PLACE
+    if places < 1:
+        return duplicate_groups(df, keys)
     columns = [quoted(k) for k in keys]
-    hash_of_keys = f"xxhash64({', '.join(columns)}) AS key_hash"
-    copies = df.selectExpr(hash_of_keys).groupBy("key_hash").agg(F.expr("count(*) AS copies"))
-    repeated = stored(copies.filter("copies > 1").select("key_hash"))
-    found = repeated.count()
+    hash_of_keys = f"xxhash64({', '.join(columns)})"
+    copies = df.selectExpr(f"{hash_of_keys} AS key_hash").groupBy("key_hash").agg(F.expr("count(*) AS copies"))
+    marked = stored(copies.filter("copies > 1").selectExpr(f"pmod(key_hash, {places}L) AS place").distinct())
+    found = marked.count()
     if found == 0:
         return df.sparkSession.range(1).selectExpr("0L AS value")
-    if found * BYTES_PER_HASH > broadcast_bytes:
+    if found > places * LARGEST_MARKED_SHARE:
         return duplicate_groups(df, keys)
-    suspects = df.selectExpr(*dict.fromkeys(columns), hash_of_keys).join(F.broadcast(repeated), "key_hash", "left_semi")
+    suspects = df.selectExpr(*dict.fromkeys(columns), f"pmod({hash_of_keys}, {places}L) AS place").join(
+        F.broadcast(marked), "place", "left_semi"
+    )
     return duplicate_groups(suspects, keys)
