@@ -77,7 +77,7 @@ def test_known_totals(report):
         {"broadcast_key_bytes": 0},  # children grouped with their parent
         {"broadcast_key_bytes": 0, "children_per_round": 1},
         {"hash_first_rows": 1},
-        {"concurrent_passes": 1},
+        {"concurrent_passes": 1, "sources_in_profile": False},
     ],
 )
 def test_every_plan_has_the_same_results(main, report, changes):

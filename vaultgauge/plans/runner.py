@@ -17,7 +17,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from vaultgauge.operators.orphans import fits_broadcast
-from vaultgauge.operators.profile import KEY_BYTES, ROWS, profile_slots
+from vaultgauge.operators.profile import KEY_BYTES, ROWS, SOURCE_SLOTS, profile_slots
 from vaultgauge.operators.target import Target
 from vaultgauge.plans import summary
 from vaultgauge.plans.passes import (
@@ -77,13 +77,18 @@ def validate(vault: Vault, settings: Settings | None = None) -> Report:
 
 def _profile_passes(vault: Vault, plan: Plan, settings: Settings) -> list[Pass]:
     parents = {parent for t in plan.targets.values() for parent in t.references.values()}
-    return [_profile_pass(vault, t, t.name in parents, plan, settings) for t in plan.targets.values()]
-
+    passes = []
+    for target in plan.targets.values():
+        slots = [s for s in plan.slots(target) if s in profile_slots(target)]
+        sizes = [ROWS, KEY_BYTES] if target.name in parents else [ROWS]
+        of_sources = [] if settings.sources_in_profile else [s for s in slots if s in SOURCE_SLOTS]
+        passes.append(_profile_pass(vault, target, [s for s in slots if s not in of_sources], sizes, settings))
+        if of_sources:
+            passes.append(_profile_pass(vault, target, of_sources, [], settings))
+    return passes
 
-def _profile_pass(vault: Vault, target: Target, is_parent: bool, plan: Plan, settings: Settings) -> Pass:
-    slots = [s for s in plan.slots(target) if s in profile_slots(target)]
-    sizes = [ROWS, KEY_BYTES] if is_parent else [ROWS]
 
+def _profile_pass(vault: Vault, target: Target, slots: list[str], sizes: list[str], settings: Settings) -> Pass:
     def frame(wanted):
         return lambda: profile_frame(vault, target, wanted, settings)
 

@@ -39,6 +39,8 @@ class Settings:
 
     # Execution.
     concurrent_passes: int = 8
+    # False: source checks get a scan of their own, which is cheaper where nearly every row has another source.
+    sources_in_profile: bool = True
     # Parent keys are broadcast only when their measured size stays below this many bytes.
     broadcast_key_bytes: int = 64 * 1024 * 1024
     # Children that share one shuffle with their parent; more children take another round.
