@@ -27,9 +27,10 @@ class Plan(NamedTuple):
 
     targets: dict[str, Target]
     specs: list[Row]
+    by_table: dict[str, list[Row]]
 
     def slots(self, target: Target) -> list[str]:
-        return [s.slot for s in self.specs if s.table_name == target.name]
+        return [s.slot for s in self.by_table[target.name]]
 
 
 def make_plan(vault: Vault, settings: Settings) -> Plan:
@@ -44,10 +45,12 @@ def make_plan(vault: Vault, settings: Settings) -> Plan:
         )
         for r in sorted(rows, key=lambda r: r.position)
     }
+    by_table: dict[str, list[Row]] = {}
     for s in specs:
+        by_table.setdefault(s.table_name, []).append(s)
         if s.check_id in ("L2", "L3", "S3"):
             targets[s.table_name].references[s.key_column] = s.parent_name
-    return Plan(targets, specs)
+    return Plan(targets, specs, by_table)
 
 
 def grain_keys(target: Target, slot: str) -> list[str] | None:
@@ -135,7 +138,7 @@ def check_values(
     frames = []
     children: dict[tuple[str, str], list[tuple[Target, str]]] = {}
     for target in plan.targets.values():
-        slots = [s.slot for s in plan.specs if s.table_name == target.name and wanted(s.check_id)]
+        slots = [s.slot for s in plan.by_table[target.name] if wanted(s.check_id)]
         of_profile = [s for s in slots if s in profile_slots(target)]
         if of_profile:
             frames.append(profile_frame(vault, target, of_profile, settings))

@@ -112,7 +112,9 @@ def report_header(results: DataFrame, settings: Settings) -> DataFrame:
 
 def summary_json(results: DataFrame, settings: Settings) -> DataFrame:
     """The whole report as one JSON object. Its size is that of the result list, whatever the size of the tables."""
-    totals = run_totals(results).select(F.lit("totals").alias("part"), F.lit(0).cast("bigint").alias("place"), F.struct("*").alias("totals"))
+    totals = run_totals(results).select(
+        F.lit("totals").alias("part"), F.lit(0).cast("bigint").alias("place"), F.struct("*").alias("totals")
+    )
     categories = category_summary(results).select(
         F.lit("categories").alias("part"),
         F.col("category_rank").alias("place"),
