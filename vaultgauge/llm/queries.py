@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from vaultgauge.llm import bpe
 from vaultgauge.llm import exact_dedup as exact
 from vaultgauge.llm.shared import table
 
@@ -24,8 +27,19 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of each document's ids, and the digest of the text decoded from them."""
+    trip = bpe.bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return trip.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_exact_dedup": op4_exact_dedup}
+    return {"op4_exact_dedup": op4_exact_dedup, "op6_bpe": op6_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
