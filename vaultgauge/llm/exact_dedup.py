@@ -74,6 +74,7 @@ def _streamed(spark: SparkSession, rows: DataFrame, folder: str, bytes_per_batch
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # else each state reserves some MB
     changed = (
         session.readStream.schema(rows.schema)
         .option("maxBytesPerTrigger", bytes_per_batch)
