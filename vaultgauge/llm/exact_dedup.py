@@ -102,8 +102,10 @@ def _differing(bodies: DataFrame, state: DataFrame) -> DataFrame:
     """Digests of groups in which some text isn't, byte by byte, the text that stays."""
     hits = state.where("group_size > 1").select("digest", "keep_id")
     members = bodies.join(hits, "digest")
-    keepers = members.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("body").alias("keeper_body"))
-    return members.join(keepers, "digest").where(F.col("body") != F.col("keeper_body")).select("digest").distinct()
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    keepers = members.where(stays).groupBy("digest").agg(F.min("body").alias("keeper_body"), F.max("body").alias("other_body"))
+    same_id = keepers.where(F.col("keeper_body") != F.col("other_body")).select("digest")  # one id, several texts
+    return members.where(~stays).join(keepers, "digest").where(F.col("body") != F.col("keeper_body")).select("digest").union(same_id).distinct()
 
 
 def _by_bytes(bodies: DataFrame, collisions: DataFrame, state: DataFrame) -> DataFrame:
