@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from vaultgauge.llm import bpe
+from vaultgauge.llm import bpe, fingerprint
 from vaultgauge.llm import exact_dedup as exact
 from vaultgauge.llm.shared import table
 
@@ -38,8 +38,15 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each document and of its edited text, and their likeness."""
+    found = fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256")
+    return found.select("doc_id", "n_chars", digest, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_exact_dedup": op4_exact_dedup, "op6_bpe": op6_bpe}
+    return {"op4_exact_dedup": op4_exact_dedup, "op6_bpe": op6_bpe, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
