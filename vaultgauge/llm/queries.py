@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from vaultgauge.llm import bpe, fingerprint
+from vaultgauge.llm import bpe, fingerprint, quality
 from vaultgauge.llm import exact_dedup as exact
 from vaultgauge.llm.shared import table
 
@@ -38,6 +38,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score and decision of each document."""
+    scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", "held_out", "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of each document and of its edited text, and their likeness."""
     found = fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
@@ -46,7 +52,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_exact_dedup": op4_exact_dedup, "op6_bpe": op6_bpe, "op10_fingerprint": op10_fingerprint}
+    return {"op4_exact_dedup": op4_exact_dedup, "op6_bpe": op6_bpe, "op8_quality": op8_quality, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
