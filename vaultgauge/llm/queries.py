@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from vaultgauge.llm import bpe, fingerprint, quality
+from vaultgauge.llm import bpe, fingerprint, quality, toxicity
 from vaultgauge.llm import exact_dedup as exact
 from vaultgauge.llm.shared import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and decision of each document."""
+    scores = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: the document that stays of its group of equal texts."""
     groups = exact.exact_groups(table(spark, sf_dir, "documents"))
@@ -52,7 +58,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_exact_dedup": op4_exact_dedup, "op6_bpe": op6_bpe, "op8_quality": op8_quality, "op10_fingerprint": op10_fingerprint}
+    return {"op2_toxicity": op2_toxicity, "op4_exact_dedup": op4_exact_dedup, "op6_bpe": op6_bpe, "op8_quality": op8_quality, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:

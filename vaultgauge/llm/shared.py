@@ -42,3 +42,8 @@ def text_of(column: str = "text") -> Column:
 def held_out(column: str = "doc_id") -> Column:
     """True for the fifth of ids that no model may learn from; a null id counts as held out."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 5 == 0, F.lit(True))
+
+
+def hashed_share(column: str, share: float) -> Column:
+    """True for about this share of the values, the same ones each time; for all of them from 1 on."""
+    return F.pmod(F.xxhash64(column), F.lit(1_000_000)) < int(1_000_000 * min(1.0, share))
