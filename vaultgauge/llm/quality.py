@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultgauge.llm.shared import held_out, shared_folder, text_of, written
+from vaultgauge.llm.shared import hashed_share, held_out, shared_folder, text_of, written
 
 STATISTICS = (
     "words", "word_length", "word_spread", "variety", "pair_variety", "commonest", "upper", "symbols", "marked_words",
     "bars", "marks", "digits", "line_repeats", "line_length",
 )
-#: Labelled rows on which the calibration is fitted, at most; means and covariances use all of them.
+#: Labelled rows on which the calibration is fitted, at most (about: a share of the ids by hash); means and covariances use all of them.
 CALIBRATION_ROWS = 20_000
 #: Weight of the identity in a class covariance.
 SHRINKAGE = 0.01
@@ -127,7 +127,9 @@ def fit(labelled: DataFrame, label: str, shrinkage: float = SHRINKAGE, calibrati
         factors.append(np.linalg.inv(lower))
         offsets.append(-np.log(np.diag(lower)).sum())
     raw = Discriminant(centre, scale, means, np.array(factors), np.array(offsets))
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows).toPandas()
+    sample = labelled.where(hashed_share("doc_id", calibration_rows / n.sum())).toPandas()
+    if sample.empty:
+        return raw
     slope, intercept = _logistic(_squeeze(raw.difference(np.stack(sample["statistics"]))), sample["label"].to_numpy(float))
     return Discriminant(centre, scale, means, raw.factors, raw.offsets, slope, intercept)
 
