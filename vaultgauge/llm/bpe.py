@@ -27,6 +27,8 @@ from vaultgauge.llm.shared import text_of
 
 #: How byte-level vocabularies split a text.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space on both sides of a space, or before one that ends the text: there a space need not begin a piece.
+ODD_SPACES = r"\s (?:\s|\Z)"
 #: Words whose ids a worker keeps; beyond, it starts anew. Bounds memory only.
 KEPT_WORDS = 400_000
 
@@ -80,7 +82,7 @@ class Encoder:
     def __init__(self, path: str):
         self.vocabulary = v = Vocabulary(path)
         self.pieces = regex.compile(PIECES)
-        self.odd_spaces = re.compile(r"\s (?:\s|\Z)")
+        self.odd_spaces = re.compile(ODD_SPACES)
         self.right_edges = Kept(lambda t: self._edges(t, 1), 1 << 20)
         self.left_edges = Kept(lambda t: self._edges(t, 0), 1 << 20)
         self.compatible = Kept(lambda pair: self._first_merge(*pair) == math.inf, 2_000_000)

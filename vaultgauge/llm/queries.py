@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from vaultgauge.llm import bpe, fingerprint, quality, toxicity
+from vaultgauge.llm import bpe, fingerprint, packing, quality, toxicity
 from vaultgauge.llm import exact_dedup as exact
 from vaultgauge.llm.shared import table
 
@@ -33,6 +33,12 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's pieces and where they lie."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pieces_report(packing.packed(table(spark, sf_dir, "documents"), path))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of each document's ids, and the digest of the text decoded from them."""
     trip = bpe.bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -58,7 +64,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_toxicity": op2_toxicity, "op4_exact_dedup": op4_exact_dedup, "op6_bpe": op6_bpe, "op8_quality": op8_quality, "op10_fingerprint": op10_fingerprint}
+    return {"op2_toxicity": op2_toxicity, "op4_exact_dedup": op4_exact_dedup, "op5_packing": op5_packing, "op6_bpe": op6_bpe, "op8_quality": op8_quality, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
