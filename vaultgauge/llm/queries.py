@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from vaultgauge.llm import bpe, fingerprint, packing, quality, toxicity
+from vaultgauge.llm import bpe, fingerprint, jaccard_join, packing, quality, toxicity
 from vaultgauge.llm import exact_dedup as exact
 from vaultgauge.llm.shared import table
 
@@ -56,6 +56,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", "held_out", "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class of equal shingles, the number of classes linked to it, and its group of near duplicates."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of each document and of its edited text, and their likeness."""
     found = fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
@@ -64,7 +69,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_toxicity": op2_toxicity, "op4_exact_dedup": op4_exact_dedup, "op5_packing": op5_packing, "op6_bpe": op6_bpe, "op8_quality": op8_quality, "op10_fingerprint": op10_fingerprint}
+    return {"op2_toxicity": op2_toxicity, "op4_exact_dedup": op4_exact_dedup, "op5_packing": op5_packing, "op6_bpe": op6_bpe, "op8_quality": op8_quality, "op9_jaccard_join": op9_jaccard_join, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
