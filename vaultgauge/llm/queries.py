@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from vaultgauge.llm import bpe, fingerprint, jaccard_join, packing, quality, toxicity
+from vaultgauge.llm import bpe, fingerprint, jaccard_join, packing, quality, toxicity, url_filter
 from vaultgauge.llm import exact_dedup as exact
 from vaultgauge.llm.shared import table
 
@@ -50,6 +50,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of each page's URL."""
+    return url_filter.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score and decision of each document."""
     scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -69,7 +74,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_toxicity": op2_toxicity, "op4_exact_dedup": op4_exact_dedup, "op5_packing": op5_packing, "op6_bpe": op6_bpe, "op8_quality": op8_quality, "op9_jaccard_join": op9_jaccard_join, "op10_fingerprint": op10_fingerprint}
+    return {"op2_toxicity": op2_toxicity, "op4_exact_dedup": op4_exact_dedup, "op5_packing": op5_packing, "op6_bpe": op6_bpe, "op7_url_filter": op7_url_filter, "op8_quality": op8_quality, "op9_jaccard_join": op9_jaccard_join, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
