@@ -9,17 +9,38 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from vaultgauge.llm import bpe, fingerprint, jaccard_join, packing, quality, toxicity, url_filter
+from vaultgauge.llm import bpe, fingerprint, jaccard_join, license_scan, line_dedup, packing, quality, toxicity, url_filter
 from vaultgauge.llm import exact_dedup as exact
 from vaultgauge.llm.shared import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's lines, how many of them are later copies, and the digest of the text without these."""
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_deleted", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score and decision of each document."""
     scores = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scores.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's licenses in the order of the text: lines, names, size reductions in percent, and words that differ."""
+    found = license_scan.license_scan(table(spark, sf_dir, "documents"))
+    joined = lambda value: F.concat_ws(";", F.transform("findings", value))
+    return found.select(
+        "doc_id",
+        F.size("findings").alias("n_findings"),
+        joined(lambda f: f["line"].cast("string")).alias("lines"),
+        joined(lambda f: f["license"]).alias("licenses"),
+        joined(lambda f: F.floor(f["reduction"] * 100).cast("string")).alias("reductions"),
+        joined(lambda f: F.concat_ws(" ", f["missing"])).alias("missing"),
+        joined(lambda f: F.concat_ws(" ", f["added"])).alias("added"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: the document that stays of its group of equal texts."""
     groups = exact.exact_groups(table(spark, sf_dir, "documents"))
@@ -74,7 +95,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_toxicity": op2_toxicity, "op4_exact_dedup": op4_exact_dedup, "op5_packing": op5_packing, "op6_bpe": op6_bpe, "op7_url_filter": op7_url_filter, "op8_quality": op8_quality, "op9_jaccard_join": op9_jaccard_join, "op10_fingerprint": op10_fingerprint}
+    return {"op1_line_dedup": op1_line_dedup, "op2_toxicity": op2_toxicity, "op3_license_scan": op3_license_scan, "op4_exact_dedup": op4_exact_dedup, "op5_packing": op5_packing, "op6_bpe": op6_bpe, "op7_url_filter": op7_url_filter, "op8_quality": op8_quality, "op9_jaccard_join": op9_jaccard_join, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
