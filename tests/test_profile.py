@@ -7,7 +7,7 @@ from dataclasses import replace
 import pytest
 
 from tests.conftest import plan_of
-from vaultgauge.operators.profile import KEY_BYTES, ROWS, profile, profile_slots
+from vaultgauge.operators.profile import KEY_BYTES, ROWS, SOURCE_SLOTS, profile, profile_slots
 from vaultgauge.operators.target import Target
 from vaultgauge.settings import Settings
 
@@ -169,7 +169,7 @@ def test_single_slots_equal_the_whole_profile_and_brute_force(spark, settings, s
 def test_one_scan_and_no_python(spark, settings, tmp_path):
     loads(spark, NOW).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
-    plan = plan_of(profile(df, TARGET, profile_slots(TARGET), settings))
+    plan = plan_of(profile(df, TARGET, profile_slots(TARGET) - SOURCE_SLOTS, settings))
     tree = plan.split("\n\n")[0]
     assert tree.count("Scan parquet") == 1
     assert "Join" not in tree and "Python" not in tree and "Sort" not in tree and "Window" not in tree

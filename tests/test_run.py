@@ -76,8 +76,8 @@ def test_known_totals(report):
     [
         {"broadcast_key_bytes": 0},  # children grouped with their parent
         {"broadcast_key_bytes": 0, "children_per_round": 1},
-        {"hash_first_rows": 1},
-        {"concurrent_passes": 1, "sources_in_profile": False},
+        {"hash_first": True},
+        {"concurrent_passes": 1},
     ],
 )
 def test_every_plan_has_the_same_results(main, report, changes):
@@ -261,8 +261,91 @@ def test_sinks(spark, report, tmp_path):
     assert results.count() == 128 and str(results.first().run_date) == "2024-01-30"
     assert spark.read.parquet(str(tmp_path / "tables/failures")).count() == 27
     assert spark.read.parquet(str(tmp_path / "tables/table_summary")).count() == 8
-    write_tables(report, str(tmp_path / "json"), "json", "overwrite")
+    write_tables(report, str(tmp_path / "json"), "json")
     assert spark.read.json(str(tmp_path / "json/category_summary")).count() == 4
     assert run_line(report) == (
         "Score 72% | PASS=69 FAIL=27 ERROR=0 INFO=32 of 128 checks on 8 tables (3 HUB / 1 LINK / 4 SAT)"
     )
+
+
+def listing_fails(vault, name, times):
+    """The same vault, whose columns of one table cannot be listed so many times."""
+    original, left = vault._column_names, {"n": times}
+
+    def column_names(table):
+        if table == name and left["n"]:
+            left["n"] -= 1
+            raise RuntimeError("throttled")
+        return original(table)
+
+    return Vault(vault.spark, vault.names, vault._open, column_names)
+
+
+def test_failed_listing_is_an_error(main, report):
+    broken = validate(listing_fails(main, "hub_user", 99), vaults.settings())
+    rows = [r for r in broken.results.collect() if r.table_name == "HUB_USER"]
+    assert [(r.check_id, r.status) for r in rows] == [("T4", "ERROR")] and "throttled" in rows[0].error
+    assert broken.totals().first().error >= 1
+    assert outcomes(validate(listing_fails(main, "hub_user", 1), vaults.settings())) == outcomes(report)  # a second attempt helps
+
+
+def test_storage_that_fails_costs_no_check(main, report, monkeypatch):
+    from vaultgauge.operators import grain
+
+    def fails(df):
+        raise OSError("no such folder")
+
+    monkeypatch.setattr(grain, "stored", fails)
+    t = validate(main, vaults.settings(hash_first=True)).totals().first()
+    assert (t["pass"], t.fail, t.error, t.dq_score) == (69, 27, 0, 72)
+
+
+def test_multi_part_database(spark, settings, tmp_path):
+    spark.sql(f"CREATE DATABASE parts LOCATION '{tmp_path}'")
+    spark.createDataFrame([("k", None, "s"), ("k", None, "s")], HUB).write.saveAsTable("parts.hub_a")
+    try:
+        plain = validate(Vault.from_database(spark, "parts"), settings)
+        for name in ("spark_catalog.parts", ["spark_catalog", "parts"]):
+            named = validate(Vault.from_database(spark, name), settings)
+            assert outcomes(named) == outcomes(plain)
+            for r in named.results.collect():
+                assert (spark.sql(r.query_text).first()[0] or 0) == r.value
+    finally:
+        spark.sql("DROP DATABASE parts CASCADE")
+
+
+def test_result_tables_keep_other_runs(spark, tmp_path):
+    vault = Vault.from_frames(spark, {"hub_a": spark.createDataFrame([("k", None, "s")], HUB)})
+
+    def write(database, as_of):
+        write_tables(validate(vault, Settings(database=database, as_of=as_of)), str(tmp_path))
+
+    for run in (("a", "2024-01-01 10:00:00"), ("a", "2024-01-02 10:00:00"), ("b", "2024-01-02 10:00:00"), ("a", "2024-01-02 10:00:00")):
+        write(*run)
+    results = spark.read.parquet(str(tmp_path / "check_results"))
+    found = {(r.database, str(r.run_date), str(r.run_ts)): r["count"] for r in results.groupBy("database", "run_date", "run_ts").count().collect()}
+    assert found == {
+        ("a", "2024-01-01", "2024-01-01 10:00:00"): 14, ("a", "2024-01-02", "2024-01-02 10:00:00"): 14,
+        ("b", "2024-01-02", "2024-01-02 10:00:00"): 14,
+    }
+    assert spark.read.parquet(str(tmp_path / "diagnostics")).count() == 3
+
+
+def test_some_checks_and_tables(main, report):
+    some = validate(main, vaults.settings(), checks=["S3", "H2"], tables=["sat_user", "HUB_USER"])
+    assert {(r.table_name, r.check_id) for r in some.results.collect()} == {("SAT_USER", "S3"), ("HUB_USER", "H2")}
+    whole = {(r.table_name, r.check_id): r.value for r in report.results.collect()}
+    assert all(whole[r.table_name, r.check_id] == r.value for r in some.results.collect())
+    with pytest.raises(ValueError, match="X9"):
+        validate(main, vaults.settings(), checks=["X9"])
+
+
+def test_diagnostics_of_a_run(report):
+    found = {r.table_name: r.missing for r in report.diagnostics().collect()}
+    assert len(found) == 8 and "LOAD_DTS" not in found["HUB_CUSTOMER"]
+
+
+def test_names_that_differ_by_case_are_refused(spark, settings):
+    df = spark.createDataFrame([("k", None, "s")], HUB)
+    with pytest.raises(ValueError, match="case"):
+        validate(Vault.from_frames(spark, {"hub_a": df, "HUB_A": df}), settings)

@@ -57,4 +57,4 @@ def category_rank(category: Column) -> Column:
 
 
 def slug(name: Column) -> Column:
-    return F.regexp_replace(F.lower(name), "[^a-zA-Z0-9_]+", "_")
+    return F.regexp_replace(F.lower(name), rules.NO_SLUG, "_")

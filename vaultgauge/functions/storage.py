@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _shared_folder(spark: SparkSession) -> str | None:
-    return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-
-
 def can_store(spark: SparkSession) -> bool:
-    """A cluster must name a shared checkpoint folder; on one machine a temporary folder will do."""
-    return _shared_folder(spark) is not None or spark.sparkContext.master.startswith("local")
+    """True where the session names a checkpoint folder; its driver and executors must share that."""
+    return spark.sparkContext.getCheckpointDir() is not None
 
 
 def stored(df: DataFrame) -> DataFrame:
     """The DataFrame written to the checkpoint folder, which outlives executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(_shared_folder(spark) or tempfile.mkdtemp(prefix="vaultgauge-"))
     return df.checkpoint(eager=True)

@@ -27,11 +27,14 @@ def fits_broadcast(rows: int | None, key_bytes: int | None, limit: int) -> bool:
     return rows is not None and key_bytes is not None and key_bytes + rows * BYTES_PER_BROADCAST_ROW <= limit
 
 
-def orphan_rows(child: Child, parent: DataFrame, broadcast_parent: bool = False) -> DataFrame:
-    """Anti join of the child's distinct keys, with their number of rows, and the parent's keys.
+def orphan_rows(
+    child: Child, parent: DataFrame, broadcast_parent: bool = False, broadcast_child: bool = False
+) -> DataFrame:
+    """Anti join of the child's distinct keys, with their number of rows, and the parent's distinct keys.
 
-    With a parent known to be small the anti join runs ahead of the grouping and only orphans are shuffled. Otherwise
-    the child is grouped first, so that a key with most of the rows is one row in the join.
+    With a parent known to be small the anti join runs ahead of the grouping and only orphans are shuffled. With a child
+    known to be small its keys go to the parent, which isn't shuffled. Otherwise both are grouped first, so that a key with
+    most of the rows is one row in the join.
     """
     key = F.col(quoted(child.key))
     parent_keys = parent.select(key.alias("parent_key"))
@@ -41,6 +44,11 @@ def orphan_rows(child: Child, parent: DataFrame, broadcast_parent: bool = False)
         )
         return orphans.agg(F.count(F.lit(1)).alias("value"))
     per_key = child.frame.groupBy(key.alias("child_key")).agg(F.count(F.lit(1)).alias("copies"))
+    parent_keys = parent_keys.distinct()
+    if broadcast_child:
+        wanted = F.broadcast(per_key.select(F.col("child_key").alias("wanted_key")))
+        met = parent.select(key.alias("parent_key")).join(wanted, F.col("parent_key") == F.col("wanted_key"), "left_semi")
+        parent_keys = F.broadcast(met.distinct())  # keys of the child only
     orphans = per_key.join(parent_keys, F.col("child_key") == F.col("parent_key"), "left_anti")
     return orphans.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("value"))
 
@@ -49,8 +57,8 @@ def shared_key_figures(parent: DataFrame, key: str, children: Sequence[Child]) -
     """Orphans of all children of a parent, and its own duplicate keys, from one grouping by key.
 
     The keys of the parent and of its children are put together and counted by origin. The parent is scanned and
-    shuffled once instead of once per child, nothing is sorted, and partial aggregation leaves one row per key and
-    task, however often a key occurs.
+    shuffled once instead of once per child, and partial aggregation leaves one row per key and task, however often a
+    key occurs. An aggregate that doesn't fit in memory sorts what it spills.
     Columns: duplicate_groups (of the parent), orphans_<n> for the n-th child.
     """
     origins = [(parent, key)] + [(c.frame, c.key) for c in children]

@@ -1,8 +1,7 @@
-"""Everything a table tells about itself in one scan: NULLs, load times, volumes and sources.
-
-Rows are first counted per record source. Those counts are additive, so the table's figures are sums over the
-sources, and the source checks come from the same scan and the same small shuffle. Partial aggregation leaves one row
-per source and task, so a source with most of the rows is no heavier than any other.
+"""Everything a table tells about itself: NULLs, load times and volumes in one aggregate over one scan, without a
+shuffle of its rows; sources in a count per source, which reads that column only. Partial aggregation leaves one row per
+source and task, so a source with most of the rows is no heavier than any other, and of many sources only names and
+counts are shuffled.
 """
 
 from __future__ import annotations
@@ -68,25 +67,21 @@ def rows_that_matter(slot: str, target: Target, load: LoadTime | None, settings:
 
 
 def profile(df: DataFrame, target: Target, wanted: Collection[str], settings: Settings) -> DataFrame:
-    """The wanted slots of one table in long form. Needs one scan; with only a few slots wanted, the scan reads
-    their columns only and, where all of them concern few rows, skips the rest of the file by its statistics."""
+    """The wanted slots of one table in long form. One scan, and one of the source column where sources are wanted; with
+    only a few slots wanted, the scan reads their columns only and, where all of them concern few rows, skips the rest of the
+    file by its statistics."""
     wanted = set(wanted)
+    sources = wanted & SOURCE_SLOTS
+    if sources:
+        found = _sources(df, target, sources, settings)
+        return found.unionByName(profile(df, target, wanted - sources, settings)) if wanted - sources else found
     load = load_time(df, target.load_dts) if target.load_dts else None
     conditions = [rows_that_matter(slot, target, load, settings) for slot in sorted(wanted)]
     if conditions and all(conditions):
         df = df.filter(" OR ".join(conditions))
 
     measures = _measures(df, target, load, wanted, settings)
-    per_rows = [F.expr(f"{over_rows} AS {name}") for name, (over_rows, _) in measures.items()]
-    if wanted & SOURCE_SLOTS:
-        per_source = df.groupBy(F.expr(f"{quoted(target.record_source)} AS source")).agg(*per_rows)
-        figures = per_source.agg(
-            *[F.expr(f"{merge}({name}) AS {name}") for name, (_, merge) in measures.items()],
-            F.expr("max(rows) AS top_source_rows"),
-            F.expr("count(source) AS sources"),
-        )
-    else:
-        figures = df.agg(*per_rows)
+    figures = df.agg(*[F.expr(f"{over_rows} AS {name}") for name, over_rows in measures.items()])
 
     clock_error = _clock_error(target, load, measures)
     values = _values(target, settings)
@@ -99,6 +94,19 @@ def profile(df: DataFrame, target: Target, wanted: Collection[str], settings: Se
             value = f"CASE WHEN {clock_error} IS NULL THEN {value} END" if load.is_usable else "CAST(NULL AS BIGINT)"
             error = clock_error
         cells.append(f"{literal(slot)}, {value}, {error}")
+    return _long_form(figures, target, cells)
+
+
+def _sources(df: DataFrame, target: Target, wanted: set[str], settings: Settings) -> DataFrame:
+    per_source = df.groupBy(F.expr(f"{quoted(target.record_source)} AS source")).agg(F.expr("count(*) AS source_rows"))
+    figures = per_source.selectExpr("sum(source_rows) AS rows", "max(source_rows) AS top_source_rows", "count(source) AS sources")
+    values = _values(target, settings)
+    return _long_form(
+        figures, target, [f"{literal(s)}, CAST(coalesce({values[s]}, 0) AS BIGINT), CAST(NULL AS STRING)" for s in sorted(wanted)]
+    )
+
+
+def _long_form(figures: DataFrame, target: Target, cells: list[str]) -> DataFrame:
     return figures.selectExpr(
         f"{literal(target.name)} AS table_name",
         f"stack({len(cells)}, {', '.join(cells)}) AS (slot, value, error)",
@@ -107,32 +115,34 @@ def profile(df: DataFrame, target: Target, wanted: Collection[str], settings: Se
 
 def _measures(
     df: DataFrame, target: Target, load: LoadTime | None, wanted: set[str], settings: Settings
-) -> dict[str, tuple[str, str]]:
-    """Figures of a group of rows: name -> (aggregate over rows, aggregate that merges groups)."""
-    measures = {ROWS: ("count(*)", "sum")}
+) -> dict[str, str]:
+    """Figures of the table: name -> aggregate over its rows."""
+    measures = {ROWS: "count(*)"}
     for slot, column in null_slots(target).items():
         if slot in wanted:
-            measures[_name(slot)] = (_rows_where(f"{quoted(column)} IS NULL"), "sum")
+            measures[_name(slot)] = _rows_where(f"{quoted(column)} IS NULL")
     if wanted & CLOCK_SLOTS and load.is_usable:
         if wanted & {"T2", "F2"}:
-            measures["future"] = (_rows_where(f"{load.value} > {settings.now}"), "sum")
+            measures["future"] = _rows_where(f"{load.value} > {settings.now}")
         if "F1" in wanted:
-            measures["latest"] = (f"max({load.value})", "max")
+            measures["latest"] = f"max({load.value})"
         if "F3" in wanted:
-            measures["oldest"] = (f"min({load.value})", "min")
+            measures["oldest"] = f"min({load.value})"
         days = {0} if wanted & {"V1", "V2", "V3"} else set()
         if "V1" in wanted:
             days.add(1)
         if "V2" in wanted:
             days.update(range(1, settings.spike_window_days + 1))
         for k in sorted(days):
-            measures[f"day_{k}"] = (_rows_where(on_day(load.value, settings, k)), "sum")
+            measures[f"day_{k}"] = _rows_where(on_day(load.value, settings, k))
         if load.is_text and not settings.lenient_timestamps:
-            measures["malformed"] = (_rows_where(f"{load.raw} IS NOT NULL AND {load.value} IS NULL"), "sum")
-    if KEY_BYTES in wanted:
-        is_text = isinstance(column_type(df, target.own_hk), (T.StringType, T.BinaryType))
-        width = f"octet_length({quoted(target.own_hk)})" if is_text else str(BYTES_OF_OTHER_KEYS)
-        measures[KEY_BYTES] = (f"sum(CAST({width} AS BIGINT))", "sum")
+            measures["malformed"] = _rows_where(f"{load.raw} IS NOT NULL AND {load.value} IS NULL")
+    for slot in wanted:
+        if slot.startswith(KEY_BYTES):
+            column = slot.removeprefix(KEY_BYTES).removeprefix(":") or target.own_hk
+            is_text = isinstance(column_type(df, column), (T.StringType, T.BinaryType))
+            width = f"octet_length({quoted(column)})" if is_text else str(BYTES_OF_OTHER_KEYS)
+            measures[_name(slot)] = f"sum(CAST({width} AS BIGINT))"
     return measures
 
 
@@ -165,7 +175,8 @@ def _values(target: Target, settings: Settings) -> dict[str, str]:
         **{slot: _name(slot) for slot in null_slots(target)},
         "T4": ROWS,
         ROWS: ROWS,
-        KEY_BYTES: KEY_BYTES,
+        KEY_BYTES: _name(KEY_BYTES),
+        **{f"{KEY_BYTES}:{key}": _name(f"{KEY_BYTES}:{key}") for key in target.references},
         "T2": "future",
         "F2": "future",
         "F1": f"int(latest < {settings.now} - make_dt_interval(0, {settings.stale_hours}))",

@@ -15,3 +15,4 @@ class Target(NamedTuple):
     hash_diff: str | None
     hk_columns: tuple[str, ...]
     references: dict[str, str | None]  # foreign or parent key -> table that owns it
+    columns_error: str | None = None  # why its columns could not be listed

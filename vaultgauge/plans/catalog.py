@@ -92,6 +92,15 @@ def diagnostics(tables: DataFrame) -> DataFrame:
     )
 
 
+def require_distinct_names(found: list) -> None:
+    """Checks and results name tables in upper case; two tables of one such name would share their values."""
+    by_name: dict[str, list[str]] = {}
+    for r in found:
+        by_name.setdefault(r.table_name, []).append(r.source_name)
+    if clashes := [names for names in by_name.values() if len(names) > 1]:
+        raise ValueError(f"Tables whose names differ by case only cannot be told apart: {clashes}")
+
+
 def require_tables(found: list, vault: Vault, settings: Settings) -> None:
     if found:
         return

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -18,6 +18,7 @@ from vaultgauge.operators.profile import profile, profile_slots
 from vaultgauge.operators.target import Target
 from vaultgauge.plans import catalog as catalog_plan
 from vaultgauge.plans.specs import check_specs
+from vaultgauge.rules import CHECKS
 from vaultgauge.settings import Settings
 from vaultgauge.sources.vault import Vault
 
@@ -28,6 +29,21 @@ class Plan(NamedTuple):
     targets: dict[str, Target]
     specs: list[Row]
     by_table: dict[str, list[Row]]
+    catalog: DataFrame
+
+    def only(self, checks: Collection[str] | None, tables: Collection[str] | None) -> Plan:
+        """The plan with the given checks and tables; unknown ones are an error, not an empty report."""
+        names = None if tables is None else {t.upper() for t in tables}
+        for given, known in ((checks, {c.check_id for c in CHECKS}), (names, set(self.targets))):
+            if given is not None and (unknown := set(given) - known):
+                raise ValueError(f"Unknown: {sorted(unknown)}. Known: {sorted(known)}")
+        specs = [s for s in self.specs if (checks is None or s.check_id in checks) and (names is None or s.table_name in names)]
+        by_table = {t: [s for s in specs if s.table_name == t] for t in self.targets}
+        kept = {t for t, own in by_table.items() if own}
+        wanted = {(s.table_name, s.key_column) for s in specs}
+        targets = {n: t._replace(references={k: p for k, p in t.references.items() if (n, k) in wanted}) for n, t in self.targets.items()}
+        kept |= {p for n in kept for p in targets[n].references.values() if p}  # parents are measured
+        return self._replace(targets={n: t for n, t in targets.items() if n in kept}, specs=specs, by_table=by_table)
 
     def slots(self, target: Target) -> list[str]:
         return [s.slot for s in self.by_table[target.name]]
@@ -37,11 +53,13 @@ def make_plan(vault: Vault, settings: Settings) -> Plan:
     tables = catalog_plan.catalog(vault, settings)
     rows = tables.collect()
     catalog_plan.require_tables(rows, vault, settings)
+    catalog_plan.require_distinct_names(rows)
+    tables = vault.spark.createDataFrame(rows, tables.schema)  # planned once
     specs = sorted(check_specs(tables, settings, vault.qualifier).collect(), key=lambda s: s.generation_order)
     targets = {
         r.table_name: Target(
             r.table_name, r.source_name, r.table_type, r.own_hk, r.load_dts_col, r.record_source_col, r.hash_diff_col,
-            tuple(r.hk_columns), {},
+            tuple(r.hk_columns), {}, r.columns_error,
         )
         for r in sorted(rows, key=lambda r: r.position)
     }
@@ -50,7 +68,7 @@ def make_plan(vault: Vault, settings: Settings) -> Plan:
         by_table.setdefault(s.table_name, []).append(s)
         if s.check_id in ("L2", "L3", "S3"):
             targets[s.table_name].references[s.key_column] = s.parent_name
-    return Plan(targets, specs, by_table)
+    return Plan(targets, specs, by_table, tables)
 
 
 def grain_keys(target: Target, slot: str) -> list[str] | None:
@@ -94,10 +112,10 @@ def grain_frame(vault: Vault, target: Target, slot: str, settings: Settings, has
 
 
 def orphan_frame(
-    vault: Vault, target: Target, slot: str, parent: Target, broadcast_parent: bool = False
+    vault: Vault, target: Target, slot: str, parent: Target, broadcast_parent: bool = False, broadcast_child: bool = False
 ) -> DataFrame:
     child = Child(target.name, slot, vault.table(target.source_name), key_of_orphans(target, slot))
-    return _long_form(orphan_rows(child, vault.table(parent.source_name), broadcast_parent), target, slot)
+    return _long_form(orphan_rows(child, vault.table(parent.source_name), broadcast_parent, broadcast_child), target, slot)
 
 
 def shared_frame(
@@ -130,6 +148,13 @@ def same_key_type(vault: Vault, parent: Target, child: Target, key: str) -> bool
     return column_type(vault.table(parent.source_name), key) == column_type(vault.table(child.source_name), key)
 
 
+def checks_of(vault: Vault, settings: Settings, checks: Collection[str], shared: bool = False) -> DataFrame:
+    """table_name, slot, value, error of some checks as one lazy DataFrame: nothing but the catalog is read before it is used."""
+    settings = settings.resolved(vault.spark)
+    plan = make_plan(vault, settings).only(checks, None)
+    return check_values(vault, plan, settings, lambda check_id: True, shared)
+
+
 def check_values(
     vault: Vault, plan: Plan, settings: Settings, wanted: Callable[[str], bool], shared: bool = False
 ) -> DataFrame:

@@ -8,7 +8,7 @@ checks only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
@@ -20,6 +20,7 @@ from vaultgauge.operators.orphans import fits_broadcast
 from vaultgauge.operators.profile import KEY_BYTES, ROWS, SOURCE_SLOTS, profile_slots
 from vaultgauge.operators.target import Target
 from vaultgauge.plans import summary
+from vaultgauge.plans.catalog import diagnostics
 from vaultgauge.plans.passes import (
     Plan, grain_frame, grain_keys, key_of_orphans, make_plan, orphan_frame, profile_frame, same_key_type, shared_frame,
 )
@@ -40,9 +41,14 @@ class Pass(NamedTuple):
 class Report:
     """Results of one run. Every summary is a DataFrame over the results, which are kept."""
 
-    def __init__(self, results: DataFrame, settings: Settings):
+    def __init__(self, results: DataFrame, settings: Settings, tables: DataFrame | None = None):
         self.results = results
         self.settings = settings
+        self.catalog = tables
+
+    def diagnostics(self) -> DataFrame:
+        """Per table the audit columns that the naming rules found, and those that they did not: the main reason for too few checks."""
+        return diagnostics(self.catalog)
 
     def totals(self) -> DataFrame:
         return summary.run_totals(self.results)
@@ -66,22 +72,29 @@ class Report:
         return summary.summary_json(self.results, self.settings)
 
 
-def validate(vault: Vault, settings: Settings | None = None) -> Report:
+def validate(
+    vault: Vault,
+    settings: Settings | None = None,
+    checks: Collection[str] | None = None,
+    tables: Collection[str] | None = None,
+) -> Report:
+    """Runs the checks of a vault: all of them, or those with the given ids, of all tables or of those named (in any case)."""
     settings = (settings or Settings()).resolved(vault.spark)
-    plan = make_plan(vault, settings)
+    plan = make_plan(vault, settings).only(checks, tables)
     outcomes: dict[Slot, Outcome] = {}
     _run(vault.spark, _profile_passes(vault, plan, settings), settings, outcomes)
     _run(vault.spark, _key_passes(vault, plan, settings, outcomes), settings, outcomes)
-    return Report(_results(vault.spark, plan, outcomes), settings)
+    return Report(_results(vault.spark, plan, outcomes), settings, plan.catalog)
 
 
 def _profile_passes(vault: Vault, plan: Plan, settings: Settings) -> list[Pass]:
     parents = {parent for t in plan.targets.values() for parent in t.references.values()}
     passes = []
     for target in plan.targets.values():
+        orphan_keys = {key for s in plan.slots(target) if (key := key_of_orphans(target, s))}
         slots = [s for s in plan.slots(target) if s in profile_slots(target)]
-        sizes = [ROWS, KEY_BYTES] if target.name in parents else [ROWS]
-        of_sources = [] if settings.sources_in_profile else [s for s in slots if s in SOURCE_SLOTS]
+        sizes = [ROWS, *([KEY_BYTES] if target.name in parents else []), *(f"{KEY_BYTES}:{key}" for key in sorted(orphan_keys))]
+        of_sources = [s for s in slots if s in SOURCE_SLOTS]  # two columns, grouped by one of them: a pass of its own
         passes.append(_profile_pass(vault, target, [s for s in slots if s not in of_sources], sizes, settings))
         if of_sources:
             passes.append(_profile_pass(vault, target, of_sources, [], settings))
@@ -99,8 +112,9 @@ def _profile_pass(vault: Vault, target: Target, slots: list[str], sizes: list[st
 def _key_passes(vault: Vault, plan: Plan, settings: Settings, outcomes: dict[Slot, Outcome]) -> list[Pass]:
     """Duplicate and orphan checks.
 
-    Orphans of a small parent: broadcast anti join, one per child, no shuffle of the child. Of any other parent: all
-    children and the parent in one grouping by key, which also finds the parent's duplicate keys.
+    Orphans of a small parent: broadcast anti join, one per child, no shuffle of the child. Of a small child: its keys are
+    broadcast to the parent, which isn't shuffled; of an empty one: 0, without a job. Of any other parent: all children and
+    the parent in one grouping by key, which also finds the parent's duplicate keys.
     """
     limit = settings.broadcast_key_bytes
     if vault.spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
@@ -110,11 +124,23 @@ def _key_passes(vault: Vault, plan: Plan, settings: Settings, outcomes: dict[Slo
         return outcomes.get((table, what), (None, None))[0]
 
     def grain_pass(target: Target, slot: str) -> Pass:
-        hash_first = (measured(target.name, ROWS) or 0) >= settings.hash_first_rows
-        return Pass([(target.name, slot)], lambda: grain_frame(vault, target, slot, settings, hash_first))
-
-    def orphan_pass(target: Target, slot: str, parent: Target, broadcast_parent: bool) -> Pass:
-        return Pass([(target.name, slot)], lambda: orphan_frame(vault, target, slot, parent, broadcast_parent))
+        slots = [(target.name, slot)]
+        plain = Pass(slots, lambda: grain_frame(vault, target, slot, settings))
+        if not settings.hash_first:
+            return plain
+        return Pass(slots, lambda: grain_frame(vault, target, slot, settings, hash_first=True), [plain])
+
+    def orphan_pass(target: Target, slot: str, parent: Target, broadcast_parent: bool = False, broadcast_child: bool = False) -> Pass:
+        return Pass(
+            [(target.name, slot)], lambda: orphan_frame(vault, target, slot, parent, broadcast_parent, broadcast_child)
+        )
+
+    def of_no_rows(target: Target, slot: str) -> bool:
+        """Without rows there is no duplicate; without rows of its own a table has no orphan. Parents must be readable, though."""
+        if measured(target.name, ROWS) != 0:
+            return False
+        outcomes[(target.name, slot)] = (0, None)
+        return True
 
     passes: list[Pass] = []
     duplicates_of_hubs: dict[str, Target] = {}
@@ -124,15 +150,20 @@ def _key_passes(vault: Vault, plan: Plan, settings: Settings, outcomes: dict[Slo
             if slot == "H2":
                 duplicates_of_hubs[target.name] = target
             elif grain_keys(target, slot):
-                passes.append(grain_pass(target, slot))
+                if not of_no_rows(target, slot):
+                    passes.append(grain_pass(target, slot))
             elif key := key_of_orphans(target, slot):
                 parent = plan.targets[target.references[key]]
+                if measured(parent.name, ROWS) is not None and of_no_rows(target, slot):
+                    continue
                 if fits_broadcast(measured(parent.name, ROWS), measured(parent.name, KEY_BYTES), limit):
-                    passes.append(orphan_pass(target, slot, parent, True))
+                    passes.append(orphan_pass(target, slot, parent, broadcast_parent=True))
+                elif fits_broadcast(measured(target.name, ROWS), measured(target.name, f"{KEY_BYTES}:{key}"), limit):
+                    passes.append(orphan_pass(target, slot, parent, broadcast_child=True))
                 elif _safe(same_key_type, vault, parent, target, key):
                     children.setdefault((parent.name, key), []).append((target, slot))
                 else:
-                    passes.append(orphan_pass(target, slot, parent, False))
+                    passes.append(orphan_pass(target, slot, parent))
 
     for (parent_name, key), members in children.items():
         parent = plan.targets[parent_name]
@@ -140,7 +171,7 @@ def _key_passes(vault: Vault, plan: Plan, settings: Settings, outcomes: dict[Slo
             batch = members[start : start + settings.children_per_round]
             hub = duplicates_of_hubs.pop(parent_name, None)
             slots = [(t.name, slot) for t, slot in batch] + ([(hub.name, "H2")] if hub else [])
-            single = [orphan_pass(t, slot, parent, False) for t, slot in batch] + ([grain_pass(hub, "H2")] if hub else [])
+            single = [orphan_pass(t, slot, parent) for t, slot in batch] + ([grain_pass(hub, "H2")] if hub else [])
             passes.append(
                 Pass(
                     slots,
@@ -183,13 +214,15 @@ def _results(spark: SparkSession, plan: Plan, outcomes: dict[Slot, Outcome]) ->
     schema = pa.schema(
         [
             ("seq", pa.int64()), ("category", pa.string()), ("table_name", pa.string()), ("table_type", pa.string()),
-            ("check_id", pa.string()), ("check_name", pa.string()), ("kind", pa.string()), ("impact", pa.string()),
+            ("check_id", pa.string()), ("slot", pa.string()), ("check_name", pa.string()), ("kind", pa.string()), ("impact", pa.string()),
             ("query_text", pa.string()), ("value", pa.int64()), ("error", pa.string()),
         ]
     )
     rows = []
     for seq, spec in enumerate(plan.specs, start=1):
         value, error = outcomes[(spec.table_name, spec.slot)]
+        if unlisted := plan.targets[spec.table_name].columns_error:
+            value, error = None, unlisted  # the checks that its columns would have had are missing: never a quiet success
         given = {name: spec[name] for name in schema.names if name in spec}
         rows.append({**given, "seq": seq, "value": value, "error": error})
     return with_status(spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema)))

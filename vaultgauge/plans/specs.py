@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -61,7 +62,7 @@ def _filled(template: str, values: dict[str, str]) -> str:
     return reduce(lambda text, v: f"replace({text}, {literal('{' + v[0] + '}')}, {v[1]})", values.items(), template)
 
 
-def check_specs(tables: DataFrame, settings: Settings, qualifier: str = "") -> DataFrame:
+def check_specs(tables: DataFrame, settings: Settings, qualifier: Sequence[str] = ()) -> DataFrame:
     """One row per check to run. `slot` names the check within its table, `generation_order` is theirs."""
     # A check of the table itself sees the parent of a satellite; a check per foreign key sees that key and its parent.
     itself = """named_struct('per_reference', false, 'reference_no', 0,
@@ -82,7 +83,7 @@ def check_specs(tables: DataFrame, settings: Settings, qualifier: str = "") -> D
         .filter(f"size(array_except(needs, array({present}, {any_key}))) = 0")
     )
 
-    database = [quoted_where_needed(literal(qualifier))] if qualifier else []
+    database = [quoted_where_needed(literal(part)) for part in qualifier]
 
     def full_name(name: str) -> str:
         return f"concat_ws('.', {', '.join([*database, quoted_where_needed(name)])})"

@@ -52,6 +52,8 @@ SCORE_BANDS = [(90, "green"), (70, "amber")]
 LOWEST_BAND = "red"
 PREVIEW_CHARS = 65
 OUTPUT_NAME = "dv_validation_report_{slug}"
+# Fixed value: what becomes an underscore in a slug.
+NO_SLUG = "[^a-zA-Z0-9_]+"
 NAMES_IN_EMPTY_CATALOG_MESSAGE = 25
 
 # What a check needs to be generated; every need names a column of the catalog (or of its references).

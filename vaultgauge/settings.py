@@ -39,14 +39,13 @@ class Settings:
 
     # Execution.
     concurrent_passes: int = 8
-    # False: source checks get a scan of their own, which is cheaper where nearly every row has another source.
-    sources_in_profile: bool = True
-    # Parent keys are broadcast only when their measured size stays below this many bytes.
+    # Keys of a parent or child are broadcast only when their measured size stays below this many bytes.
     broadcast_key_bytes: int = 64 * 1024 * 1024
     # Children that share one shuffle with their parent; more children take another round.
     children_per_round: int = 8
-    # Tables of at least this many rows look for duplicates by 64-bit hash first.
-    hash_first_rows: int = 100_000_000
+    # Duplicates: group 64-bit hashes first and full keys only where hashes repeat. Pays where keys are wide and duplicates
+    # rare; needs spark.checkpoint.dir. The values are the same, and where it fails the plain grouping answers.
+    hash_first: bool = False
 
     def resolved(self, spark: SparkSession) -> Settings:
         """The same settings with clock and cast mode fixed for one run."""

@@ -21,20 +21,32 @@ def write_document(report: Report, folder: str) -> str:
     return path
 
 
-def write_tables(report: Report, folder: str, file_format: str = "parquet", mode: str = "append") -> None:
-    """check_results, category_summary, table_summary and failures, each partitioned by the date of the run."""
+def write_tables(report: Report, folder: str, file_format: str = "parquet") -> None:
+    """check_results, category_summary, table_summary, failures and diagnostics, partitioned by database and date of the run.
+
+    A run replaces what an earlier run wrote for its database and date, and nothing else: written again it changes nothing,
+    and other databases and dates stay. run_ts is the run's clock.
+    """
     tables = {
         "check_results": report.results,
         "category_summary": report.categories(),
         "table_summary": report.tables(),
         "failures": report.failures(),
+        "diagnostics": report.diagnostics(),
     }
     for name, df in tables.items():
         (
             df.coalesce(1)  # a row per check or less
-            .withColumn("run_date", F.expr(report.settings.today))
-            .write.mode(mode)
-            .partitionBy("run_date")
+            .withColumns(
+                {
+                    "run_ts": F.expr(report.settings.now),
+                    "database": F.lit(report.settings.database),
+                    "run_date": F.expr(report.settings.today),
+                }
+            )
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("database", "run_date")
             .format(file_format)
             .save(f"{folder.rstrip('/')}/{name}")
         )

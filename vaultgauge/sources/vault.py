@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import time
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
@@ -10,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vaultgauge.functions.sqltext import quoted
 
+# Seconds between attempts to list the columns of a table.
+LISTING_PAUSES = (0.2, 1.0)
+
 
 class Vault:
     """Tables by name, in catalog order. A table is opened only when one of its checks is planned."""
@@ -20,28 +24,31 @@ class Vault:
         names: list[str],
         open_table: Callable[[str], DataFrame],
         column_names: Callable[[str], list[str]],
-        qualifier: str = "",
+        qualifier: Sequence[str] = (),
     ):
         self.spark = spark
         self.names = names
-        self.qualifier = qualifier
+        self.qualifier = list(qualifier)
         self._open = open_table
         self._opened: dict[str, DataFrame] = {}
         self._column_names = column_names
 
     @classmethod
-    def from_database(cls, spark: SparkSession, database: str) -> Vault:
-        names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+    def from_database(cls, spark: SparkSession, database: str | Sequence[str]) -> Vault:
+        """The tables of a database. A name with dots has parts, as catalog.database; a list gives the parts as they are."""
+        parts = database.split(".") if isinstance(database, str) else list(database)
+        full_database = ".".join(map(quoted, parts))
+        names = [t.name for t in spark.catalog.listTables(full_database) if not t.isTemporary]
 
         def full_name(name):
-            return f"{quoted(database)}.{quoted(name)}"
+            return f"{full_database}.{quoted(name)}"
 
         return cls(
             spark,
             names,
             lambda name: spark.table(full_name(name)),
             lambda name: [c.name for c in spark.catalog.listColumns(full_name(name))],
-            qualifier=database,
+            qualifier=parts,
         )
 
     @classmethod
@@ -65,12 +72,15 @@ class Vault:
             self._opened[name] = self._open(name)
         return self._opened[name]
 
-    def _columns_or_none(self, name: str) -> list[str]:
-        """A table whose columns cannot be read keeps its row count check, which then reports the reason."""
-        try:
-            return self._column_names(name)
-        except Exception:
-            return []
+    def _columns_or_error(self, name: str) -> tuple[list[str], str | None]:
+        """The columns of a table, or why they could not be listed after some attempts; its row count check reports that."""
+        for pause in (*LISTING_PAUSES, None):
+            try:
+                return self._column_names(name), None
+            except Exception as e:
+                if pause is None:
+                    return [], f"COLUMNS_NOT_LISTED: {e}"
+                time.sleep(pause)
 
     def listing(self) -> DataFrame:
         """position, source_name: every table of the database, in catalog order."""
@@ -84,16 +94,17 @@ class Vault:
         )
 
     def columns_of(self, positions: list[int]) -> DataFrame:
-        """position, source_name, column_names: one row per given table."""
+        """position, source_name, column_names, columns_error: one row per given table."""
         names = [self.names[p] for p in positions]
         with ThreadPoolExecutor(8) as pool:  # one call to the catalog per table
-            column_names = list(pool.map(self._columns_or_none, names))
+            found = list(pool.map(self._columns_or_error, names))
         return self.spark.createDataFrame(
             pa.table(
                 {
                     "position": pa.array(positions, pa.int64()),
                     "source_name": pa.array(names, pa.string()),
-                    "column_names": pa.array(column_names, pa.list_(pa.string())),
+                    "column_names": pa.array([columns for columns, _ in found], pa.list_(pa.string())),
+                    "columns_error": pa.array([error for _, error in found], pa.string()),
                 }
             )
         )

@@ -16,7 +16,7 @@ from vaultgauge.functions import naming
 from vaultgauge.functions.sqltext import literal
 from vaultgauge.plans import catalog as catalog_plan
 from vaultgauge.plans import summary
-from vaultgauge.plans.passes import check_values, grain_frame, make_plan
+from vaultgauge.plans.passes import checks_of, grain_frame, make_plan
 from vaultgauge.plans.runner import Report, validate
 from vaultgauge.plans.specs import check_specs
 from vaultgauge.settings import Settings
@@ -136,10 +136,8 @@ def catalog_kind_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _check(check_id: str, shared: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        vault = vaults.main_vault(spark, sf_dir)
-        settings = vaults.settings().resolved(spark)
-        plan = make_plan(vault, settings)
-        return check_values(vault, plan, settings, check_id.__eq__, shared).select("table_name", "slot", "value")
+        found = checks_of(vaults.main_vault(spark, sf_dir), vaults.settings(), [check_id], shared)
+        return found.select("table_name", "slot", "value")
 
     return query
 
