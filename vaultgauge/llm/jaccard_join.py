@@ -32,8 +32,9 @@ from vaultgauge.llm.shared import shared_folder, text_of, written
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 COORDINATES = 64
-#: Classes in a bucket that are compared with each other; larger ones are split.
-BUCKET = 400
+#: Classes in a bucket that are compared with each other; larger ones are split. Two million comparisons of signatures take a
+#: fraction of a second, and each level of splitting costs recall.
+BUCKET = 2000
 #: Depth at which a bucket that is still larger is compared in blocks, whatever its size.
 DEPTH = 12
 #: Chance that a pair at the threshold itself is found; pairs above are found more surely.
@@ -205,17 +206,18 @@ def _candidates(leaves: DataFrame, classes: DataFrame, threshold: float, bucket:
             sizes, block = group["size"].to_numpy(), group["block"].to_numpy()
             values = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint32).reshape(n, COORDINATES)
             reached = [set(x) for x in group["reached"].to_pylist()]
-            partners: list[list[int]] = [[] for _ in range(n)]
+            partners: list[np.ndarray] = [np.empty(0, np.int32)] * n
             used = np.zeros(n, bool)
             for i in range(n - 1):
                 likely = (values[i + 1 :] == values[i]).sum(1) >= least_equal
                 likely &= np.minimum(sizes[i + 1 :], sizes[i]) >= threshold * np.maximum(sizes[i + 1 :], sizes[i])
                 if not within:
                     likely &= block[i + 1 :] != block[i]
-                for j in (np.flatnonzero(likely) + i + 1).tolist():
-                    if min(reached[i] & reached[j]) == leaf:
-                        partners[i].append(j)
-                        used[[i, j]] = True
+                here = [j for j in (np.flatnonzero(likely) + i + 1).tolist() if min(reached[i] & reached[j]) == leaf]
+                if here:
+                    partners[i] = np.array(here, np.int32)
+                    used[i] = True
+                    used[here] = True
             if used.any():
                 keep = np.flatnonzero(used)
                 yield pa.RecordBatch.from_arrays(
@@ -252,9 +254,12 @@ def _overlaps(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
 
 def _verified(group: pa.Table, threshold: float) -> tuple[list[bytes], np.ndarray]:
     """The classes of a piece, and the pairs of them that are at the threshold or above, exactly."""
-    place = {p: k for k, p in enumerate(group["place"].to_pylist())}
+    place = group["place"].to_numpy()  # in order
     sets = [shingles(t) for t in group["text"].to_pylist()]
-    pairs = np.array([(k, place[j]) for k, js in enumerate(group["partners"].to_pylist()) for j in js if j in place], np.int64).reshape(-1, 2)
+    partners = group["partners"].combine_chunks()
+    first = np.repeat(np.arange(len(sets)), partners.value_lengths().to_numpy(zero_copy_only=False))
+    second = np.searchsorted(place, partners.flatten().to_numpy(zero_copy_only=False))
+    pairs = np.column_stack([first, second]).astype(np.int64)
     if len(pairs):
         sizes = np.array([len(s) for s in sets])
         overlap = _overlaps(sets, pairs)
@@ -279,8 +284,8 @@ def _links(pieces: DataFrame, threshold: float) -> DataFrame:
                     i = root[i]  # noqa: B023
                 return i
 
-            for i, j in pairs.tolist():
-                a, b = top(i), top(j)
+            for i, j in pairs:
+                a, b = top(int(i)), top(int(j))
                 root[max(a, b)] = min(a, b)
             keep = np.flatnonzero(links).tolist()
             yield pa.RecordBatch.from_arrays(
