@@ -49,8 +49,9 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, bool]]) -> C
 def _grams(urls: DataFrame) -> DataFrame:
     """One row per distinct URL and character: the character with the four before it; '\\u0002' pads the beginning, '\\u0003' ends it."""
     text = F.concat(F.lit("\u0002" * ORDER), F.col("url"), F.lit("\u0003"))
-    at = F.transform(F.sequence(F.lit(1), F.length(text) - ORDER), lambda i: F.substring(F.col("padded"), i, F.lit(ORDER + 1)))
-    return urls.withColumn("padded", text).select("url", "weight", "allow", F.explode(at).alias("gram"))
+    # characters as an array of their own column: a place in a string is found by counting from its beginning
+    at = F.transform(F.sequence(F.lit(1), F.size("letters") - ORDER), lambda i: F.concat_ws("", F.slice("letters", i, ORDER + 1)))
+    return urls.withColumn("letters", F.split(text, "")).select("url", "weight", "allow", F.explode(at).alias("gram"))
 
 
 def _model(grams: DataFrame) -> DataFrame:
