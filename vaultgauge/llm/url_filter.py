@@ -51,7 +51,7 @@ def _grams(urls: DataFrame) -> DataFrame:
     text = F.concat(F.lit("\u0002" * ORDER), F.col("url"), F.lit("\u0003"))
     # characters as an array of their own column: a place in a string is found by counting from its beginning
     at = F.transform(F.sequence(F.lit(1), F.size("letters") - ORDER), lambda i: F.concat_ws("", F.slice("letters", i, ORDER + 1)))
-    return urls.withColumn("letters", F.split(text, "")).select("url", "weight", "allow", F.explode(at).alias("gram"))
+    return urls.withColumn("letters", F.split(text, "")).select("url_key", "weight", "allow", F.explode(at).alias("gram"))
 
 
 def _model(grams: DataFrame) -> DataFrame:
@@ -111,15 +111,16 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, bool]] = RULES) -> Data
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path")).withColumn("fits", rule_of(F.col("host"), F.col("path"), rules))
     urls = rows.where(F.length("url") > 0).groupBy("url").agg(F.count("*").alias("weight"), F.first("fits.allow").alias("allow"))
+    urls = urls.withColumn("url_key", F.md5("url"))  # a long URL isn't repeated for each of its characters
     folder = shared_folder(pages.sparkSession, "url-filter")
     urls = written(urls, f"{folder}/urls")
     grams = _grams(urls)
     model = written(_model(grams), f"{folder}/model")
     # a gram that many URLs share meets its one row of the model: only the URLs' side is large, and that side can be split
-    scored = grams.join(model, "gram").groupBy("url", "weight", "allow").agg((F.sum("ratio") / F.count("*")).alias("score"))
+    scored = grams.join(model, "gram").groupBy("url_key", "weight", "allow").agg((F.sum("ratio") / F.count("*")).alias("score"))
     scored = written(scored, f"{folder}/scored")
     threshold = _threshold(scored)
-    found = rows.join(scored.select(F.col("url").alias("scored_url"), "score"), F.col("url") == F.col("scored_url"), "left")
+    found = rows.join(scored.select("url_key", "score"), F.md5("url") == F.col("url_key"), "left")
     score = F.coalesce("score", F.lit(0.0))
     allow = F.coalesce("fits.allow", score >= threshold)
     return found.select(
