@@ -104,6 +104,30 @@ def test_license_scan(spark, texts):
         assert Counter(f.license for f in found[doc] if not f.missing and not f.added) == want
 
 
+@pytest.mark.parametrize("letters", [5, 8, 10, 20])
+def test_license_scan_finds_exact_notices_amid_long_words(letters):
+    rng = random.Random(letters)
+    around = lambda: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=letters)) for _ in range(30))
+    scan = license_scan.Scanner(tuple(license_scan.TEMPLATES.items()), license_scan.REDUCTION, license_scan.DIFFERENT).scan
+    for name, wording in license_scan.TEMPLATES.items():
+        for _ in range(20):
+            assert [(f["license"], f["missing"], f["added"]) for f in scan(f"{around()} {wording} {around()}")] == [(name, [], [])]
+
+
+def test_license_scan_savings_drop_no_wording_that_may_differ():
+    rng = random.Random(3)
+    for name, wording in license_scan.TEMPLATES.items():
+        scan = license_scan.Scanner(((name, wording),), license_scan.REDUCTION, license_scan.DIFFERENT).scan
+        words = license_scan.WORD.findall(wording)
+        for _ in range(200):
+            changed = list(words)
+            for _ in range(int(license_scan.DIFFERENT * len(words))):
+                k = rng.randrange(1, len(changed) - 1)
+                changed[k : k + rng.choice([0, 1])] = rng.choice([[], ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=30))]])
+            if len(set(words) - set(changed)) + len([w for w in changed if w not in words]) <= int(license_scan.DIFFERENT * len(words)):
+                assert [f["license"] for f in scan(" ".join(changed))] == [name], changed
+
+
 # ---- 4 ----
 
 def test_exact_groups_with_collisions(spark):

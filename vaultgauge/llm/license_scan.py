@@ -1,19 +1,22 @@
 """License scan by conditional compression.
 
-Each block (line) of a document is compressed alone and with each license template as a raw zstandard dictionary. Templates
-are ranked by how much smaller they make the block; where the best one saves enough, the block's words are aligned with the
-template's, and the license counts as found if the wordings differ by few words, which are reported.
+Each block (line) of a document is searched for places that hold enough of a license template's words, in any order: a bound
+that no confirmed wording can miss. There the words are aligned with the template's, and a license counts as found if the wordings
+differ by few words, which are reported. Each wording found is compressed alone and with the template as a raw zstandard
+dictionary; the bytes saved, against those that the template saves on its own text, rank the templates of a place.
 
 Blocks repeat across documents, so each Python worker keeps the findings of blocks that it has met, up to a fixed number.
 """
 
 from __future__ import annotations
 
-import difflib
 import functools
+import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -29,10 +32,9 @@ TEMPLATES = {
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
 }
-#: Share of its length alone by which a block's compressed length shrinks, at least, to be a candidate. A block around a notice
-#: shrinks less, so blocks are compared in windows of this many times the template's words, a quarter apart.
+#: Bytes that a template saves on a wording, at least, as a share of those that it saves on its own text. Only the wording itself
+#: is compressed, so its neighbours don't count; the words that may differ leave more than this.
 REDUCTION = 0.25
-WINDOW = 2
 #: Words of the template that may be missing or different, as a share.
 DIFFERENT = 0.25
 KEPT_BLOCKS = 100_000
@@ -40,67 +42,155 @@ KEPT_BLOCKS = 100_000
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
+class Template(NamedTuple):
+    name: str
+    words: list[str]
+    ids: np.ndarray
+    allowed: int
+    compressor: zstandard.ZstdCompressor
+    saved: int
+
+
+class Span(NamedTuple):
+    """A wording of a license: words from start to end, the places of those that are the template's, and how they differ."""
+
+    name: str
+    start: int
+    end: int
+    same: frozenset[int]
+    reduction: float
+    missing: tuple[str, ...]
+    added: tuple[str, ...]
+
+    def rank(self) -> tuple:
+        return len(self.missing) + len(self.added), -self.reduction
+
+
+def _further(row: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Least numbers of different words up to each word of a text, with one more word of the template than in row."""
+    steps = np.arange(len(row), dtype=np.int32)
+    new = row + 1
+    new[1:] = np.where(same, np.minimum(new[1:], row[:-1]), new[1:])
+    return np.minimum.accumulate(new - steps) + steps
+
+
 class Scanner:
     """Templates with their compressors. One per Python worker."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...], reduction: float, different: float):
-        self.templates, self.reduction, self.different = templates, reduction, different
+        self.reduction = reduction
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
+        wordings = [(name, WORD.findall(wording.lower())) for name, wording in templates]
+        self.place = {w: i for i, w in enumerate(sorted({w for _, words in wordings for w in words}), 1)}
+        self.holds = np.zeros((1 + len(self.place), len(wordings)), bool)  # row 0: all other words
         self.given = []
-        for name, wording in templates:
-            words = WORD.findall(wording.lower())
+        for t, (name, words) in enumerate(wordings):
             content = " ".join(words).encode()
             dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            compress = zstandard.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False, dict_data=dictionary).compress
-            self.given.append((name, words, frozenset(words), compress))
+            compressor = zstandard.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False, dict_data=dictionary)
+            ids = np.array([self.place[w] for w in words], np.int32)
+            self.holds[ids, t] = True
+            saved = len(self.plain.compress(content)) - len(compressor.compress(content))
+            self.given.append(Template(name, words, ids, min(math.floor(different * len(words)), len(words) - 1), compressor, saved))
+        self.least = np.array([len(t.words) - t.allowed for t in self.given])
         self.block = Kept(self._block, KEPT_BLOCKS)
 
-    def _block(self, block: str) -> tuple[tuple, ...]:
-        """The licenses of a block: name, reduction, missing words, added words, wording, each at most once (its best place)."""
-        words = WORD.findall(block.lower())
-        best: dict[str, tuple] = {}
-        present = set(words)
-        # a template that lacks more words than may differ can't be confirmed
-        possible = [g for g in self.given if len(g[2] - present) <= self.different * len(g[1])]
-        for length in sorted({WINDOW * len(g[1]) for g in possible}):
-            for start in range(0, max(1, len(words) - length // 2), max(1, length // 4)):
-                part = words[start : start + length]
-                for found in self._ranked(part, [g for g in possible if WINDOW * len(g[1]) == length]):
-                    if found[0] not in best or len(found[2]) + len(found[3]) < len(best[found[0]][2]) + len(best[found[0]][3]):
-                        best[found[0]] = found
-        return tuple(self._longest(best))
-
-    def _ranked(self, part: list[str], given: list[tuple]) -> Iterator[tuple]:
-        """Confirmed templates of a window, those that make it smallest first."""
-        content = " ".join(part).encode()
-        alone = len(self.plain.compress(content))
-        ranked = sorted(((1 - len(compress(content)) / alone, name, words) for name, words, _, compress in given), reverse=True)
-        for reduction, name, words in ranked:
-            if reduction < self.reduction:
-                return
-            match = difflib.SequenceMatcher(None, words, part, autojunk=False)
-            same = [b for b in match.get_matching_blocks() if b.size]
+    def _block(self, block: str) -> tuple[Span, ...]:
+        """The licenses of a block, each at most once (its best place)."""
+        best: dict[str, Span] = {}
+        for found in self.spans([w.lower() for w in WORD.findall(block)]):
+            if found.name not in best or found.rank() < best[found.name].rank():
+                best[found.name] = found
+        return tuple(sorted(best.values(), key=lambda f: f.start))
+
+    def spans(self, words: list[str]) -> list[Span]:
+        """The wordings of all licenses in their order, without those all of whose words belong to another one."""
+        ids = np.fromiter((self.place.get(w, 0) for w in words), np.int32, len(words))
+        found = []
+        for t in np.flatnonzero(self.holds[ids].sum(0) >= self.least).tolist():
+            for low, high in self._regions(self.holds[ids, t], self.given[t]):
+                found += self._wordings(words, ids, low, high, self.given[t])
+        found.sort(key=lambda f: (f.start, -f.end))
+        kept: list[Span] = []
+        for i, f in enumerate(found):
+            before = [g for g in kept if g.end > f.start]
+            after = []
+            for g in found[i + 1 :]:
+                if g.start >= f.end:
+                    break
+                after.append(g)
+            if not any(f.same < g.same or f.same == g.same and g.rank() <= f.rank() for g in before) and not any(
+                f.same < g.same or f.same == g.same and g.rank() < f.rank() for g in after
+            ):
+                kept.append(f)
+        return kept
+
+    def _regions(self, hits: np.ndarray, template: Template) -> Iterator[tuple[int, int]]:
+        """Ranges of words outside of which no wording can lie: too few of the template's words in each range of its length."""
+        length = len(template.words) + template.allowed
+        total = np.concatenate([[0], np.cumsum(hits)])
+        ends = np.minimum(np.arange(len(hits)) + length, len(hits))
+        starts = np.flatnonzero(total[ends] - total[:-1] >= len(template.words) - template.allowed)
+        if len(starts):
+            cuts = np.flatnonzero(np.diff(starts) >= length)
+            yield from zip(starts[[0, *cuts + 1]].tolist(), ends[starts[[*cuts, -1]]].tolist(), strict=True)
+
+    def _wordings(self, words: list[str], ids: np.ndarray, low: int, high: int, template: Template) -> Iterator[Span]:
+        """Wordings of a template that don't overlap, those that differ least first."""
+        row = np.zeros(high - low + 1, np.int32)
+        for w in template.ids:
+            row = _further(row, ids[low:high] == w)
+        ends = 1 + np.flatnonzero((row[1:] <= template.allowed) & (row[1:] <= row[:-1]))
+        used = np.zeros(high - low, bool)
+        for end in ends[np.argsort(row[ends], kind="stable")].tolist():
+            first = max(0, end - len(template.words) - template.allowed)
+            taken = np.flatnonzero(used[first:end])
+            if len(taken):
+                first += int(taken[-1]) + 1
+            same = self._aligned(ids[low + first : low + end], template)
             if not same:
                 continue
-            kept = sum(b.size for b in same)
-            inside = part[same[0].b : same[-1].b + same[-1].size]
-            missing = [w for i, w in enumerate(words) if not any(b.a <= i < b.a + b.size for b in same)]
-            added = [w for j, w in enumerate(part[: same[-1].b + same[-1].size]) if j >= same[0].b and not any(b.b <= j < b.b + b.size for b in same)]
-            if len(words) - kept + len(added) <= self.different * len(words):
-                yield name, reduction, tuple(missing), tuple(added), " ".join(inside)
-
-    def _longest(self, best: dict[str, tuple]) -> list[tuple]:
-        """Of findings whose wording lies within another one's, the outer one."""
-        return [f for f in best.values() if not any(f is not g and f" {f[4]} " in f" {g[4]} " for g in best.values())]
+            places = frozenset(low + first + j for _, j in same)
+            start, stop = min(places), max(places) + 1
+            known = {i for i, _ in same}
+            missing = tuple(w for i, w in enumerate(template.words) if i not in known)
+            added = tuple(words[j] for j in range(start, stop) if j not in places)
+            if len(missing) + len(added) > template.allowed:
+                continue
+            content = " ".join(words[start:stop]).encode()
+            saved = len(self.plain.compress(content)) - len(template.compressor.compress(content))
+            reduction = saved / template.saved if template.saved > 0 else 1.0  # too short to save any: the words decide
+            if reduction >= self.reduction:
+                used[start - low : stop - low] = True
+                yield Span(template.name, start, stop, places, reduction, missing, added)
+
+    def _aligned(self, part: np.ndarray, template: Template) -> list[tuple[int, int]]:
+        """Places in the template and in a part that are matched, for a wording that ends with the part."""
+        rows = [np.zeros(len(part) + 1, np.int32)]
+        for w in template.ids:
+            rows.append(_further(rows[-1], part == w))
+        same, i, j = [], len(template.ids), len(part)
+        while i and j:
+            if part[j - 1] == template.ids[i - 1] and rows[i][j] == rows[i - 1][j - 1]:
+                i, j = i - 1, j - 1
+                same.append((i, j))
+            elif rows[i][j] == rows[i - 1][j] + 1:
+                i -= 1
+            else:
+                j -= 1
+        return same
 
     def scan(self, text: str) -> list[dict]:
         """The findings of a whole text, in its order."""
         found = []
         for number, block in enumerate(text.split("\n")):
-            for name, reduction, missing, added, wording in self.block[block]:
+            words = None
+            for f in self.block[block]:
+                words = words or [w.lower() for w in WORD.findall(block)]
                 found.append(
-                    {"license": name, "line": number, "reduction": reduction, "missing": list(missing), "added": list(added), "wording": wording}
-                )
+                    {"license": f.name, "line": number, "reduction": f.reduction, "missing": list(f.missing), "added": list(f.added),
+                     "wording": " ".join(words[f.start : f.end])}
+                )
         return found
 
 
