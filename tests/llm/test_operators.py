@@ -114,6 +114,16 @@ def test_license_scan_finds_exact_notices_amid_long_words(letters):
             assert [(f["license"], f["missing"], f["added"]) for f in scan(f"{around()} {wording} {around()}")] == [(name, [], [])]
 
 
+def test_license_scan_finds_wrapped_notices(spark):
+    texts = {
+        1: "# a file\n# Licensed under the Apache License,\n# Version 2.0.\nimport this", 2: "Released\nunder\nthe\nMIT\n\nLicense",
+        3: "x\r\n * This work is licensed under the GNU\r\n * General Public License, version 3.\r\n * Licensed under CC\r\n * BY-NC 4.0.",
+    }
+    rows = license_scan.license_scan(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    found = {r.doc_id: [(f.license, f.line, f.missing, f.added) for f in r.findings] for r in rows}
+    assert found == {1: [("Apache-2.0", 1, [], [])], 2: [("MIT", 0, [], [])], 3: [("GPL-3.0", 1, [], []), ("CC-BY-NC-4.0", 3, [], [])]}
+
+
 def test_license_scan_savings_drop_no_wording_that_may_differ():
     rng = random.Random(3)
     for name, wording in license_scan.TEMPLATES.items():

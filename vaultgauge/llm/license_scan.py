@@ -1,11 +1,9 @@
 """License scan by conditional compression.
 
-Each block (line) of a document is searched for places that hold enough of a license template's words, in any order: a bound
-that no confirmed wording can miss. There the words are aligned with the template's, and a license counts as found if the wordings
-differ by few words, which are reported. Each wording found is compressed alone and with the template as a raw zstandard
+A whole text's words, over all line breaks, are searched for places that hold enough of a license template's words, in any order:
+a bound that no confirmed wording can miss. There the words are aligned with the template's, and a license counts as found if the
+wordings differ by few words, which are reported. Each wording found is compressed alone and with the template as a raw zstandard
 dictionary; the bytes saved, against those that the template saves on its own text, rank the templates of a place.
-
-Blocks repeat across documents, so each Python worker keeps the findings of blocks that it has met, up to a fixed number.
 """
 
 from __future__ import annotations
@@ -22,7 +20,6 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultgauge.llm.bpe import Kept
 from vaultgauge.llm.shared import text_of
 
 #: Names of licenses and the wording of their notices, as parameters with these defaults.
@@ -37,7 +34,6 @@ TEMPLATES = {
 REDUCTION = 0.25
 #: Words of the template that may be missing or different, as a share.
 DIFFERENT = 0.25
-KEPT_BLOCKS = 100_000
 
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
@@ -93,15 +89,6 @@ class Scanner:
             saved = len(self.plain.compress(content)) - len(compressor.compress(content))
             self.given.append(Template(name, words, ids, min(math.floor(different * len(words)), len(words) - 1), compressor, saved))
         self.least = np.array([len(t.words) - t.allowed for t in self.given])
-        self.block = Kept(self._block, KEPT_BLOCKS)
-
-    def _block(self, block: str) -> tuple[Span, ...]:
-        """The licenses of a block, each at most once (its best place)."""
-        best: dict[str, Span] = {}
-        for found in self.spans([w.lower() for w in WORD.findall(block)]):
-            if found.name not in best or found.rank() < best[found.name].rank():
-                best[found.name] = found
-        return tuple(sorted(best.values(), key=lambda f: f.start))
 
     def spans(self, words: list[str]) -> list[Span]:
         """The wordings of all licenses in their order, without those all of whose words belong to another one."""
@@ -181,17 +168,24 @@ class Scanner:
         return same
 
     def scan(self, text: str) -> list[dict]:
-        """The findings of a whole text, in its order."""
-        found = []
-        for number, block in enumerate(text.split("\n")):
-            words = None
-            for f in self.block[block]:
-                words = words or [w.lower() for w in WORD.findall(block)]
-                found.append(
-                    {"license": f.name, "line": number, "reduction": f.reduction, "missing": list(f.missing), "added": list(f.added),
-                     "wording": " ".join(words[f.start : f.end])}
-                )
-        return found
+        """The findings of a whole text, in its order; a wording belongs to the line in which it starts."""
+        words = [w.lower() for w in WORD.findall(text)]
+        spans = self.spans(words)
+        if not spans:
+            return []
+        places = [m.span() for m in WORD.finditer(text)]
+        best: dict[tuple[str, int], Span] = {}
+        line = offset = 0
+        for f in spans:
+            start = places[f.start][0]
+            line, offset = line + text.count("\n", offset, start), start
+            if (f.name, line) not in best or f.rank() < best[f.name, line].rank():
+                best[f.name, line] = f
+        return [
+            {"license": f.name, "line": line, "reduction": f.reduction, "missing": list(f.missing), "added": list(f.added),
+             "wording": " ".join(words[f.start : f.end])}
+            for (_, line), f in sorted(best.items(), key=lambda x: x[1].start)
+        ]
 
 
 @functools.lru_cache(maxsize=4)
@@ -207,8 +201,8 @@ def license_scan(
 ) -> DataFrame:
     """One row per row of docs: doc_id, findings (license, line, reduction, missing, added, wording), in the order of the text.
 
-    Whole texts are scanned, line by line; a license is reported once a line, at its best place there. Null text is empty and
-    has no finding; rows that repeat stay repeated; an empty table gives none; other columns are left out.
+    Whole texts are scanned, also over line breaks; a license is reported once a line, at its best place there, by the line in
+    which the wording starts. Null text is empty and has no finding; rows that repeat stay repeated; an empty table gives none; other columns are left out.
     """
     given = tuple((TEMPLATES if templates is None else templates).items())
 
