@@ -124,6 +124,17 @@ def test_license_scan_finds_wrapped_notices(spark):
     assert found == {1: [("Apache-2.0", 1, [], [])], 2: [("MIT", 0, [], [])], 3: [("GPL-3.0", 1, [], []), ("CC-BY-NC-4.0", 3, [], [])]}
 
 
+def test_license_scan_returns_every_wording_of_a_line(spark):
+    once, less = "Released under the MIT License.", "Released under MIT License."
+    text = f"İ first {once} some words {less} {once} {once} more words Licensed under CC BY-NC 4.0. {once}"
+    (row,) = license_scan.license_scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    want = [("MIT", m.start(), ["the"] if m.group() == less else []) for m in re.finditer(r"Released[^.]*\.", text)]
+    want.insert(4, ("CC-BY-NC-4.0", text.index("Licensed"), []))
+    assert [(f.license, f.offset, f.missing) for f in row.findings] == want and {f.line for f in row.findings} == {0}
+    scan = license_scan.Scanner((("MIT", once),), license_scan.REDUCTION, license_scan.DIFFERENT).scan
+    assert len(scan(" ".join([once] * 3000))) == 3000
+
+
 def test_license_scan_savings_drop_no_wording_that_may_differ():
     rng = random.Random(3)
     for name, wording in license_scan.TEMPLATES.items():

@@ -174,18 +174,15 @@ class Scanner:
         if not spans:
             return []
         places = [m.span() for m in WORD.finditer(text)]
-        best: dict[tuple[str, int], Span] = {}
-        line = offset = 0
+        found, line, before = [], 0, 0
         for f in spans:
             start = places[f.start][0]
-            line, offset = line + text.count("\n", offset, start), start
-            if (f.name, line) not in best or f.rank() < best[f.name, line].rank():
-                best[f.name, line] = f
-        return [
-            {"license": f.name, "line": line, "reduction": f.reduction, "missing": list(f.missing), "added": list(f.added),
-             "wording": " ".join(words[f.start : f.end])}
-            for (_, line), f in sorted(best.items(), key=lambda x: x[1].start)
-        ]
+            line, before = line + text.count("\n", before, start), start
+            found.append(
+                {"license": f.name, "line": line, "offset": start, "reduction": f.reduction, "missing": list(f.missing),
+                 "added": list(f.added), "wording": " ".join(words[f.start : f.end])}
+            )
+        return found
 
 
 @functools.lru_cache(maxsize=4)
@@ -193,16 +190,17 @@ def scanner(templates: tuple[tuple[str, str], ...], reduction: float, different:
     return Scanner(templates, reduction, different)
 
 
-FINDING = "struct<license: string, line: bigint, reduction: double, missing: array<string>, added: array<string>, wording: string>"
+FINDING = "struct<license: string, line: bigint, offset: bigint, reduction: double, missing: array<string>, added: array<string>, wording: string>"
 
 
 def license_scan(
     docs: DataFrame, templates: dict[str, str] | None = None, reduction: float = REDUCTION, different: float = DIFFERENT
 ) -> DataFrame:
-    """One row per row of docs: doc_id, findings (license, line, reduction, missing, added, wording), in the order of the text.
+    """One row per row of docs: doc_id, findings (license, line, offset, reduction, missing, added, wording), in the order of the text.
 
-    Whole texts are scanned, also over line breaks; a license is reported once a line, at its best place there, by the line in
-    which the wording starts. Null text is empty and has no finding; rows that repeat stay repeated; an empty table gives none; other columns are left out.
+    Whole texts are scanned, also over line breaks. Each wording is a finding, with the line and the character at which it starts;
+    those of one license don't overlap. Null text is empty and has no finding; rows that repeat stay repeated; an empty table
+    gives none; other columns are left out.
     """
     given = tuple((TEMPLATES if templates is None else templates).items())
 
@@ -210,7 +208,7 @@ def license_scan(
     def scan(texts: pa.Array) -> pa.Array:
         kind = pa.list_(
             pa.struct(
-                [("license", pa.string()), ("line", pa.int64()), ("reduction", pa.float64()), ("missing", pa.list_(pa.string())),
+                [("license", pa.string()), ("line", pa.int64()), ("offset", pa.int64()), ("reduction", pa.float64()), ("missing", pa.list_(pa.string())),
                  ("added", pa.list_(pa.string())), ("wording", pa.string())]
             )
         )

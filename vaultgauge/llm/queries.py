@@ -27,13 +27,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's licenses in the order of the text: lines, names, size reductions in percent, and words that differ."""
+    """Each document's licenses in the order of the text: lines, offsets, names, size reductions in percent, and words that differ."""
     found = license_scan.license_scan(table(spark, sf_dir, "documents"))
     joined = lambda value: F.concat_ws(";", F.transform("findings", value))
     return found.select(
         "doc_id",
         F.size("findings").alias("n_findings"),
         joined(lambda f: f["line"].cast("string")).alias("lines"),
+        joined(lambda f: f["offset"].cast("string")).alias("offsets"),
         joined(lambda f: f["license"]).alias("licenses"),
         joined(lambda f: F.floor(f["reduction"] * 100).cast("string")).alias("reductions"),
         joined(lambda f: F.concat_ws(" ", f["missing"])).alias("missing"),
