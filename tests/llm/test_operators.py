@@ -88,6 +88,23 @@ def test_held_out(spark, name, label, accuracy):
     assert ((above > 0) + 0.5 * (above == 0)).mean() >= 0.8
 
 
+
+def test_toxicity_learns_phrases_of_ordinary_words(spark):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(300)]
+    phrase = vocabulary[:6]
+
+    def text(toxic):
+        w, parts = rng.choices(vocabulary, k=64), [phrase if toxic else rng.sample(phrase, 6) for _ in range(6)]
+        return " ".join(w[:16] + sum(([*p, *rng.choices(vocabulary, k=2)] for p in parts), []) + w[16:])  # the words of the phrase are in both
+
+    rows = [(i, text(i % 2), i % 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    scores = {r.doc_id: r.score for r in toxicity.toxicity_scores(df.drop("toxic"), df.drop("text")).where("held_out").collect()}
+    above = np.subtract.outer([s for i, s in scores.items() if i % 2], [s for i, s in scores.items() if not i % 2])
+    assert ((above > 0) + 0.5 * (above == 0)).mean() >= 0.9
+
+
 # ---- 3 ----
 
 def test_license_scan(spark, texts):

@@ -1,12 +1,14 @@
-"""Toxicity by compression distance: windows of a text are compressed with a dictionary of ordinary text and with one that
-holds toxic text as well; bytes saved by the second speak for toxicity.
-
-- The ordinary dictionary is trained by zstandard on windows of documents labelled ordinary.
-- The toxic one adds the toxic text proper: labels belong to whole documents, most words of which are ordinary, so the words
-  are kept that occur in toxic documents far more often than chance (G-test; contexts that repeat, as in copies, count once).
-- Every window is preceded by a fixed header that both dictionaries hold. So each window compresses to a block of the same kind,
+"""Toxicity by compression distance: windows of a text are compressed with a dictionary of ordinary text and with dictionaries of
+toxic text; bytes saved by these speak for toxicity.
+
+- The ordinary dictionary is trained by zstandard on windows of documents labelled ordinary, the toxic one likewise on windows of
+  documents labelled toxic: it holds whole phrases, also those made of words that are ordinary by themselves.
+- Labels belong to whole documents, most words of which are ordinary, so the trained toxic dictionary alone tells little where
+  toxicity lies in single words. A third one is an addition: the ordinary one and the words that occur in toxic documents far more
+  often than chance (G-test; contexts that repeat, as in copies, count once).
+- Every window is preceded by a fixed header that all dictionaries hold. So each window compresses to a block of the same kind,
   and lengths differ by what the dictionaries match in the window, not by zstandard's fallback to uncompressed blocks.
-- Savings per window become a score by a logistic function of three summaries, with thresholds fitted to labelled documents.
+- Savings per window become a score by a logistic function of three summaries for each toxic dictionary, with thresholds fitted to labelled documents.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from vaultgauge.llm.shared import hashed_share, held_out, text_of
 WINDOW_WORDS = 8
 #: Labelled documents of each class from which the model learns, at most (about: a share of the ids by hash).
 SAMPLE_DOCUMENTS = 5_000
-#: Windows that train the ordinary dictionary, at most; bytes of the dictionary that are used.
+#: Windows that train a dictionary, at most; bytes of the dictionary that are used.
 DICTIONARY_WINDOWS, DICTIONARY_BYTES = 60_000, 15_000
+#: Length of the pieces of text that a trained dictionary is made of: words for ordinary text, whole phrases for toxic text.
+ORDINARY_PIECE, TOXIC_PIECE = 32, 200
 #: G statistic from which a word counts as toxic, and the number of such words at most.
 SIGNIFICANT, TOXIC_WORDS = 20.0, 2_000
 #: Bytes saved from which a window counts.
@@ -61,19 +65,24 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 @dataclass(frozen=True)
 class Distance:
-    """The two dictionaries, and the weights of the summaries (the last one is the intercept)."""
+    """The dictionaries (ordinary, trained toxic, ordinary with toxic words), and the weights of the summaries (the last one is the intercept)."""
 
     ordinary: bytes
     toxic: bytes
+    worded: bytes
     weights: tuple[float, ...] = ()
 
     def summaries(self, text: str) -> list[float]:
-        """Largest saving of a window, and savings above each threshold against the number of windows."""
-        plain, toxic = _compressor(self.ordinary).compress, _compressor(self.toxic).compress
-        found = windows(text)
-        saved = [len(plain(HEADER + w)) - len(toxic(HEADER + w)) for w in found]
-        low, high = (sum(s for s in saved if s >= least) for least in SAVED)
-        return [math.log1p(max([0, *saved])), math.log1p(low / math.sqrt(10 + len(found))), math.log1p(10 * high / (5 + len(found)))]
+        """Largest saving of a window, and savings above each threshold against the number of windows, by each toxic dictionary."""
+        plain, *toxic = (_compressor(d).compress for d in (self.ordinary, self.worded, self.toxic))
+        found = [HEADER + w for w in windows(text)]
+        lengths = [len(plain(w)) for w in found]
+        values = []
+        for compress in toxic:
+            saved = [n - len(compress(w)) for n, w in zip(lengths, found, strict=True)]
+            low, high = (sum(s for s in saved if s >= least) for least in SAVED)
+            values += [math.log1p(max([0, *saved])), math.log1p(low / math.sqrt(10 + len(found))), math.log1p(10 * high / (5 + len(found)))]
+        return values
 
     def score(self, text: str) -> float:
         *slopes, intercept = self.weights
@@ -92,6 +101,15 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, size: int) -> tuple[
     return rows, counts
 
 
+def _trained(of_class: DataFrame, piece: int) -> bytes:
+    """A dictionary that zstandard trains on windows of a class, those with the least hashes."""
+    found = [bytes(r["w"]) for r in of_class.orderBy(F.xxhash64("w"), "w").limit(DICTIONARY_WINDOWS).collect()]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES + 1_000, found, k=piece, d=8).as_bytes()[-DICTIONARY_BYTES:]
+    except zstandard.ZstdError:  # too little text to train on: it is the dictionary itself
+        return b"\n".join(found)[-DICTIONARY_BYTES:]
+
+
 def _toxic_words(sample: DataFrame, counts: dict[int, int]) -> list[str]:
     """The significant words, the most significant last."""
     w = F.transform(F.array_remove(F.split(F.lower("text"), r"\s+"), ""), lambda x: F.btrim(x, F.lit(".,!?;:#%&*$|\"'()")))
@@ -125,26 +143,30 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SA
     def cut(texts: pa.Array) -> pa.Array:
         return pa.array([windows(t) for t in texts.to_pylist()], pa.list_(pa.binary()))
 
-    ordinary = sample.where("label = 0").select(F.explode(cut(F.col("text"))).alias("w"))
-    ordinary = [bytes(r["w"]) for r in ordinary.orderBy(F.xxhash64("w"), "w").limit(DICTIONARY_WINDOWS).collect()]
-    try:
-        content = zstandard.train_dictionary(DICTIONARY_BYTES + 1_000, ordinary, k=32, d=8).as_bytes()[-DICTIONARY_BYTES:]
-    except zstandard.ZstdError:  # too little text to train on: it is the dictionary itself
-        content = b"\n".join(ordinary)[-DICTIONARY_BYTES:]
     taken = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(taken) < 2:
         return None
     found = " ".join(_toxic_words(sample, taken))
-    distance = Distance(content + HEADER, content + f" {found} ".encode() + HEADER)
+    # the trained toxic dictionary knows its own documents by heart: the weights are fitted to the other half
+    learns = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0
+    halves = {(r["label"], r["learns"]) for r in sample.select("label", learns.alias("learns")).distinct().collect()}
+    if len(halves) < 4:  # too few documents to be divided
+        learns = F.lit(True)
+    weighed = sample.where(~learns) if len(halves) == 4 else sample
+    cut_out = lambda rows: rows.select(F.explode(cut(F.col("text"))).alias("w"))
+    ordinary = _trained(cut_out(sample.where("label = 0")), ORDINARY_PIECE)
+    toxic = _trained(cut_out(sample.where((F.col("label") == 1) & learns)), TOXIC_PIECE)
+    distance = Distance(ordinary + HEADER, toxic + HEADER, ordinary + f" {found} ".encode() + HEADER)
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def summaries(texts: pa.Array) -> pa.Array:
         return pa.array([distance.summaries(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
 
-    seen = sample.select("label", summaries(F.col("text")).alias("x")).toPandas()
+    seen = weighed.select("label", summaries(F.col("text")).alias("x")).toPandas()
     weights = _logistic(np.stack(seen["x"]), seen["label"].to_numpy(float))
-    weights[-1] += math.log(counts[1] / counts[0]) - math.log(taken[1] / taken[0])  # classes are sampled apart
-    return Distance(distance.ordinary, distance.toxic, tuple(map(float, weights)))
+    toxic_share = seen["label"].mean()
+    weights[-1] += math.log(counts[1] / counts[0]) - math.log(toxic_share / (1 - toxic_share))  # classes are sampled apart
+    return Distance(distance.ordinary, distance.toxic, distance.worded, tuple(map(float, weights)))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 0.1) -> np.ndarray:
