@@ -152,6 +152,13 @@ def test_license_scan_returns_every_wording_of_a_line(spark):
     assert len(scan(" ".join([once] * 3000))) == 3000
 
 
+def test_license_scan_knows_common_texts():
+    scan = license_scan.Scanner(license_scan.WORDINGS, license_scan.REDUCTION, license_scan.DIFFERENT).scan
+    for name, wording in license_scan.WORDINGS:
+        text = "// " + "\n// ".join(wording.split(" "))
+        assert [(f["license"], f["missing"], f["added"]) for f in scan(f"some code\n{text}\nmore code")] == [(name, [], [])], wording
+
+
 def test_license_scan_savings_drop_no_wording_that_may_differ():
     rng = random.Random(3)
     for name, wording in license_scan.TEMPLATES.items():

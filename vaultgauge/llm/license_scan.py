@@ -29,6 +29,50 @@ TEMPLATES = {
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
 }
+_GNU = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published "
+    "by the Free Software Foundation, either version {2} of the License, or (at your option) any later version."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_SPDX = (
+    "MIT Apache-2.0 BSD-2-Clause BSD-3-Clause ISC MPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only "
+    "LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0-only AGPL-3.0-or-later CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 Unlicense"
+)
+#: All wordings that are searched for by default: the notices above, texts and headers in their usual wordings, and SPDX lines.
+WORDINGS = (
+    *TEMPLATES.items(),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+     "files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, "
+     "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished "
+     "to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all "
+     "copies or substantial portions of the Software."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+     "provided that the above copyright notice and this permission notice appear in all copies."),
+    ("BSD-2-Clause", _BSD),
+    ("BSD-3-Clause", _BSD + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+     "promote products derived from this software without specific prior written permission."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the "
+     "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or "
+     "agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF "
+     "ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+     "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("GPL-2.0", _GNU.format("program", "", "2")), ("GPL-3.0", _GNU.format("program", "", "3")),
+    ("LGPL-2.1", _GNU.format("library", "Lesser ", "2.1")), ("LGPL-3.0", _GNU.format("library", "Lesser ", "3")),
+    ("AGPL-3.0", _GNU.format("program", "Affero ", "3")),
+    ("GPL-2.0", "GNU General Public License v2"), ("GPL-2.0", "GNU General Public License version 2"), ("GPL-2.0", "Public License v2"),
+    ("GPL-3.0", "GNU General Public License v3"), ("GPL-3.0", "Public License v3"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *((name, f"SPDX-License-Identifier: {name}") for name in _SPDX.split()),
+)
 #: Bytes that a template saves on a wording, at least, as a share of those that it saves on its own text. Only the wording itself
 #: is compressed, so its neighbours don't count; the words that may differ leave more than this.
 REDUCTION = 0.25
@@ -202,7 +246,7 @@ def license_scan(
     those of one license don't overlap. Null text is empty and has no finding; rows that repeat stay repeated; an empty table
     gives none; other columns are left out.
     """
-    given = tuple((TEMPLATES if templates is None else templates).items())
+    given = WORDINGS if templates is None else tuple(templates.items())
 
     @F.arrow_udf(f"array<{FINDING}>")
     def scan(texts: pa.Array) -> pa.Array:
