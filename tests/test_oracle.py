@@ -1,4 +1,4 @@
-"""Every registered query against its SQL in DuckDB."""
+"""Every registered query of the engine against its SQL in DuckDB."""
 
 import os
 
@@ -7,11 +7,11 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import TESTDATA, plan_of
-from vaultgauge.testbed import suite
+from vaultgauge.testbed import oracle, suite
 
 SF = f"{TESTDATA}/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = suite.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +43,13 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_point_adds_operators_only_where_they_are_installed():
+    more = set(entry.queries()) - set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
+    assert bool(more) == (entry.llm is not None)
+    assert all(name == "pipeline" or name.startswith("op") for name in more)
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows(spark, duck, name):
     df = QUERIES[name](spark, SF)
