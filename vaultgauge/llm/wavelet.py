@@ -6,8 +6,8 @@ the ids with bit 0 go before those with bit 1, in their order. Each plane is cut
 one, beside the number of one-bits before each. So single ids, counts of an id within a stretch and the place of its k-th
 occurrence read a block or two per plane; whole shards are read plane by plane from the lowest.
 
-File format, little-endian: magic, then counts (ids, documents, planes, bits per block, bytes of the document ids' form),
-the places of the zero/one borders, per block its place, size and one-bits before it, the documents' ends, and the blocks.
+File format, little-endian: magic, then counts (ids, documents, planes, bytes of the documents' lengths), per plane the border
+between zeros and ones, per block the one-bits before it and its size, the documents' lengths, and the blocks.
 The file is the payload of a row of a Parquet table, one file per shard: so Spark's committer publishes it once, whatever task
 or executor is lost, and any store that Spark reads will do.
 """
@@ -15,7 +15,6 @@ or executor is lost, and any store that Spark reads will do.
 from __future__ import annotations
 
 import functools
-import re
 import struct
 from collections.abc import Iterator
 
@@ -24,8 +23,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from vaultgauge.llm.packing import encoder
 from vaultgauge.llm.shared import shared_folder, text_of
 
 #: Closes each document.
@@ -33,16 +32,11 @@ END_ID = 2
 #: A shard is closed by the document that reaches this many ids.
 SHARD_IDS = 1 << 20
 BLOCK_BITS = 1 << 15
-#: Chunks of text whose ids a task keeps, and the longest of them. Bounds memory only.
-KEPT_CHUNKS, KEPT_LENGTH = 100_000, 40
-#: Bytes of documents in a batch of results.
+#: Rows of a batch of results.
 BATCH_ROWS = 10_000
 MAGIC = b"WVM1"
 _HEAD = struct.Struct("<4sQQII")
 
-#: White space as Unicode has it.
-_BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-
 
 # ---- file ----
 
@@ -53,12 +47,14 @@ def built(ids: np.ndarray, ends: np.ndarray) -> bytes:
     borders = np.zeros(planes, "<u8")
     ones_before = np.zeros((planes, per_plane + 1), "<u8")
     sizes = np.zeros((planes, per_plane), "<u4")
-    press, blocks, left = zstandard.ZstdCompressor(level=3), [], ids
+    press, blocks = zstandard.ZstdCompressor(level=1), []
+    left = ids.astype(np.uint16 if planes <= 16 else np.uint32)  # half as many bytes to move
     for plane in range(planes):
-        is_one = (left >> (planes - 1 - plane)) & 1 == 1
-        packed = np.packbits(is_one, bitorder="little").tobytes()
-        ones = np.add.reduceat(is_one, np.arange(0, n, BLOCK_BITS), dtype=np.int64) if n else np.zeros(0, np.int64)
+        is_one = (left & left.dtype.type(1 << (planes - 1 - plane))) != 0
+        packed = np.packbits(is_one, bitorder="little")
+        ones = np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), BLOCK_BITS // 8), dtype=np.int64) if n else np.zeros(0, np.int64)
         ones_before[plane, 1:] = np.cumsum(ones)
+        packed = packed.tobytes()
         for block in range(per_plane):
             plain = packed[block * BLOCK_BITS // 8 : (block + 1) * BLOCK_BITS // 8]
             small = press.compress(plain)
@@ -167,51 +163,16 @@ class Shard:
 
     def ids(self) -> np.ndarray:
         """All ids (unsigned 32-bit): planes from the lowest up, each undoing the order that the next one has."""
-        values = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.planes <= 16 else np.uint32
+        values = np.zeros(self.n, kind)
         for plane in reversed(range(self.planes)):
             packed = b"".join(self._packed(plane, block) for block in range(self.sizes.shape[1]))
             is_one = np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n, bitorder="little").view(bool)
-            border, above = int(self.borders[plane]), np.empty(self.n, np.uint32)
+            border, above = int(self.borders[plane]), np.empty(self.n, kind)
             above[~is_one] = values[:border]
-            above[is_one] = values[border:] | np.uint32(1 << (self.planes - 1 - plane))
+            above[is_one] = values[border:] | kind(1 << (self.planes - 1 - plane))
             values = above
-        return values
-
-
-# ---- encoding ----
-
-class ChunkEncoder:
-    """Encodes texts with the tokenizers library, chunk by chunk; chunks that come again are looked up. One per task.
-
-    A chunk is a stretch of white space and what follows it. The library cuts there as well: no piece of its goes on from
-    anything else into white space, and no special token has any. So the ids of the chunks are those of the text.
-    """
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.chunks = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+").findall
-        self.kept: dict[str, np.ndarray] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids (unsigned 32-bit) of each text."""
-        cut, kept = [self.chunks(t) for t in texts], self.kept
-        missing = list({c for chunks in cut for c in chunks if c not in kept})
-        found = {}
-        for start in range(0, len(missing), 4096):
-            some = missing[start : start + 4096]
-            for chunk, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                found[chunk] = np.array(e.ids, "<u4").tobytes()
-        known = kept | found if len(found) > len(kept) else None
-        get = known.__getitem__ if known is not None else lambda c: found[c] if c in found else kept[c]
-        out = [np.frombuffer(b"".join(map(get, chunks)), "<u4") for chunks in cut]
-        short = {c: i for c, i in found.items() if len(c) <= KEPT_LENGTH}
-        if len(kept) + len(short) > KEPT_CHUNKS:
-            kept.clear()
-        if len(short) <= KEPT_CHUNKS:
-            kept.update(short)
-        return out
+        return values.astype(np.uint32)
 
 
 # ---- tables ----
@@ -244,6 +205,8 @@ def stretches(docs: DataFrame, count: int) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Encodes the texts of docs, in ascending order of doc_id, into files below folder; returns the table of shards.
 
+    The ids are those of the tokenizers library with the vocabulary at path, found by a faster encoder of the same vocabulary.
+
     One row and one file per shard, see SHARDS. Null text is empty; each document's ids are followed by end_id. Rows that
     repeat are written as often, next to each other; rows without an id come first. A document lies in one shard whole,
     however long. An empty table gives no shard.
@@ -252,14 +215,14 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID,
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = ChunkEncoder(path), np.array([end_id], "<u4")
+        encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
         stretch, start = 0, 0
         parts, docs_in, size = [], [], 0
 
         def shard() -> pa.RecordBatch:
             nonlocal parts, docs_in, size, start
-            ids = np.concatenate(parts)
-            ends = np.cumsum([len(p) for p in parts])
+            ids = np.frombuffer(b"".join(parts), "<u4")
+            ends = np.cumsum([len(p) // 4 for p in parts])
             numbers = pa.array(docs_in, pa.int64())
             names = zstandard.compress(np.packbits(numbers.is_null()).tobytes() + numbers.fill_null(0).to_numpy().astype("<i8").tobytes())
             row = [[stretch], [start], [len(ids)], [names], [built(ids, ends)]]
@@ -271,18 +234,17 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID,
             )
 
         for batch in batches:
-            numbers, texts, of = batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()
-            for first in range(0, len(numbers), 256):
-                for i, ids in enumerate(encoder.encode(texts[first : first + 256].to_pylist()), start=first):
-                    if of[i] != stretch:  # a task may hold more than one
-                        if parts:
-                            yield shard()
-                        stretch, start = of[i], 0
-                    parts.append(np.concatenate([ids, end]))
-                    docs_in.append(numbers[i])
-                    size += len(parts[-1])
-                    if size >= shard_ids:
+            for doc, text, of in zip(*batch.columns, strict=True):
+                of = of.as_py()
+                if of != stretch:  # a task may hold more than one
+                    if parts:
                         yield shard()
+                    stretch, start = of, 0
+                parts.append(encode(text.as_py()) + end)
+                docs_in.append(doc.as_py())
+                size += len(parts[-1]) // 4
+                if size >= shard_ids:
+                    yield shard()
         if parts:
             yield shard()
 
