@@ -15,8 +15,8 @@ import json
 import math
 import re
 import struct
+from collections.abc import Iterable, Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -29,8 +29,12 @@ from vaultgauge.llm.shared import text_of
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space on both sides of a space, or before one that ends the text: there a space need not begin a piece.
 ODD_SPACES = r"\s (?:\s|\Z)"
-#: Words whose ids a worker keeps; beyond, it starts anew. Bounds memory only.
+#: Words whose ids a worker keeps; beyond, the older half goes. Bounds memory only.
 KEPT_WORDS = 400_000
+#: Pairs of tokens whose compatibility it keeps.
+KEPT_PAIRS = 1_000_000
+#: Characters of texts whose new pieces are encoded together.
+TOGETHER = 8 << 20
 
 
 def byte_names() -> dict[str, int]:
@@ -41,22 +45,44 @@ def byte_names() -> dict[str, int]:
 
 
 class Kept(dict):
-    """A bounded memo: at its limit it starts anew."""
+    """A bounded memo of two generations: when the younger one is full, the older one goes. What is asked for again stays."""
 
     def __init__(self, make, limit: int):
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.older = make, limit // 2, {}
 
     def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.make(key)
+            self._age()
+        self[key] = value
         return value
 
+    def _age(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
+    def keep(self, more: dict) -> None:
+        if len(self) + len(more) > self.limit:
+            self._age()
+        self.update(more)
+
+    def lacking(self, keys: set) -> set:
+        """Those of the keys that neither generation has."""
+        return keys.difference(self, self.older)
+
+
+def _shared_prefix(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    differing = int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])
+    return n - (differing.bit_length() + 7) // 8
+
 
 class Vocabulary:
     """A byte-level BPE vocabulary file: tokens, merges by rank, special tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, with_merges: bool = True):
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         names, model = byte_names(), content["model"]
@@ -67,7 +93,7 @@ class Vocabulary:
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.born: dict[int, int] = {}
-        for rank, pair in enumerate(model["merges"]):
+        for rank, pair in enumerate(model["merges"] if with_merges else []):
             left, right = (bytes(names[c] for c in x) for x in (pair if isinstance(pair, list) else pair.split(" ")))
             if (made := ids.get(left + right)) is not None:
                 self.rank[ids[left], ids[right]] = rank
@@ -76,6 +102,43 @@ class Vocabulary:
         self.split_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
 
+class Suffixes:
+    """An automaton over some tokens: after each byte, the tokens that are suffixes of what has been read, the longest first.
+
+    States are the prefixes of tokens. fail: the longest proper suffix that is a state; shorter: the longest one that is a token.
+    """
+
+    def __init__(self, tokens: dict[int, bytes]):
+        self.step: dict[int, int] = {}  # by state and byte in one number
+        self.token, self.depth = [-1], [0]
+        for token, content in tokens.items():
+            state = 0
+            for byte in content:
+                key = state << 8 | byte
+                following = self.step.get(key)
+                if following is None:
+                    following = self.step[key] = len(self.token)
+                    self.token.append(-1)
+                    self.depth.append(self.depth[state] + 1)
+                state = following
+            self.token[state] = token
+        self.fail, self.shorter = [0] * len(self.token), [0] * len(self.token)
+        for key, state in sorted(self.step.items(), key=lambda item: self.depth[item[1]]):  # short ones first
+            before, byte = key >> 8, key & 255
+            fail = self.after(self.fail[before], byte) if before else 0
+            self.fail[state] = fail
+            self.shorter[state] = fail if self.token[fail] >= 0 else self.shorter[fail]
+
+    def after(self, state: int, byte: int) -> int:
+        """The state after one more byte."""
+        step = self.step
+        while (following := step.get(state << 8 | byte)) is None:
+            if not state:
+                return 0
+            state = self.fail[state]
+        return following
+
+
 class Encoder:
     """Encodes texts by a vocabulary. One per Python worker."""
 
@@ -85,12 +148,9 @@ class Encoder:
         self.odd_spaces = re.compile(ODD_SPACES)
         self.right_edges = Kept(lambda t: self._edges(t, 1), 1 << 20)
         self.left_edges = Kept(lambda t: self._edges(t, 0), 1 << 20)
-        self.compatible = Kept(lambda pair: self._first_merge(*pair) == math.inf, 2_000_000)
-        self.automaton = ahocorasick.Automaton()
-        for token, i in v.ids.items():
-            if self._is_own_encoding(i):
-                self.automaton.add_word(token.decode("latin-1"), (len(token), i))
-        self.automaton.make_automaton()
+        # By the two ids in one number.
+        self.compatible = Kept(lambda pair: self._first_merge(pair >> 32, pair & 0xFFFFFFFF) == math.inf, KEPT_PAIRS)
+        self.suffixes = Suffixes({i: token for token, i in v.ids.items() if self._is_own_encoding(i)})
         self.piece_ids = Kept(self._piece_ids, KEPT_WORDS)
         self.word_ids = Kept(lambda word: self._plain_ids(" " + word), KEPT_WORDS)
 
@@ -122,34 +182,75 @@ class Encoder:
         return parts is None or self._first_merge(*parts) == self.vocabulary.born[token]
 
     def _piece_ids(self, piece: str) -> bytes:
-        ids = self.encode_piece(piece.encode())
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return next(self._ids_of([piece.encode()]))
+
+    def _ids_of(self, pieces: Iterable[bytes]) -> Iterator[bytes]:
+        """The ids of pieces by last tokens of their prefixes. What the prefixes that a piece shares with the one before have got
+        is taken over, so pieces in order cost little."""
+        compatible, next_of, after = self.compatible, self.suffixes.step.get, self.suffixes.after
+        token_of, depth, shorter = self.suffixes.token, self.suffixes.depth, self.suffixes.shorter
+        states, last, starts, before = [], [], [], b""  # by last byte of the prefix: the state; its last token, and where that begins
+        for piece in pieces:
+            end = shared = _shared_prefix(before, piece)
+            del states[shared:], last[shared:], starts[shared:]
+            state = states[-1] if shared else 0
+            for byte in piece[shared:]:
+                fits = next_of(state << 8 | byte)
+                if fits is None:
+                    fits = after(state, byte)
+                state = fits
+                end += 1
+                while True:  # the longest token that fits; shorter ones and none at all are rare
+                    token, start = token_of[fits], end - depth[fits]
+                    if token >= 0 and (not start or ((own := last[start - 1]) >= 0 and compatible[own << 32 | token])):
+                        break
+                    fits = shorter[fits]
+                    if not fits:
+                        token = -1
+                        break
+                states.append(state)
+                last.append(token)
+                starts.append(start)
+            ids = []
+            while end:
+                ids.append(last[end - 1])
+                end = starts[end - 1]
+            ids.reverse()
+            yield struct.pack(f"<{len(ids)}I", *ids)
+            before = piece
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        """The ids of one piece by last tokens of its prefixes."""
-        last, starts = [-1] * len(piece), [0] * len(piece)  # by last byte of the prefix: its last token, and where that begins
-        compatible = self.compatible
-        for end, (length, token) in self.automaton.iter(piece.decode("latin-1")):
-            if last[end] < 0:
-                start = end + 1 - length
-                if not start or ((before := last[start - 1]) >= 0 and compatible[before, token]):
-                    last[end], starts[end] = token, start
-        ids, end = [], len(piece)
-        while end:
-            ids.append(last[end - 1])
-            end = starts[end - 1]
-        return ids[::-1]
+        """The ids of one piece."""
+        return np.frombuffer(next(self._ids_of([piece])), "<u4").tolist()
+
+    def learn(self, texts: list[str]) -> None:
+        """Encodes the pieces of some texts that aren't known yet, in order."""
+        words, pieces = set(), set()
+        for text in texts:
+            words.update(text.split(" "))
+        pieces_of = {w: self.pieces.findall(" " + w) for w in self.word_ids.lacking(words)}
+        pieces.update(*pieces_of.values())
+        in_order = sorted(self.piece_ids.lacking(pieces))  # by code points, which is the order of their bytes
+        self.piece_ids.keep(dict(zip(in_order, self._ids_of(map(str.encode, in_order)), strict=True)))
+        of = self.piece_ids.__getitem__
+        self.word_ids.keep({w: of(own[0]) if len(own) == 1 else b"".join(map(of, own)) for w, own in pieces_of.items()})
 
     def _plain_ids(self, text: str) -> bytes:
         return b"".join(map(self.piece_ids.__getitem__, self.pieces.findall(text)))
 
     def _text_ids(self, text: str) -> bytes:
-        """A single space between two words always begins a piece, so words are looked up whole; other texts go piece by piece."""
+        """A space after anything but white space always begins a piece: there texts are cut, and what lies between is looked up whole."""
         if not text:
             return b""
-        if self.odd_spaces.search(text):
-            return self._plain_ids(text)
         first, *words = text.split(" ")
+        if self.odd_spaces.search(text):
+            whole = [first]
+            for w in words:
+                if not whole[-1] or whole[-1][-1].isspace():
+                    whole[-1] += " " + w
+                else:
+                    whole.append(w)
+            first, *words = whole
         return self._plain_ids(first) + b"".join(map(self.word_ids.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
@@ -171,13 +272,29 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def together(texts: pa.Array, size: int) -> Iterator[list[str]]:
+    """The texts in lists of about so many characters: all of a batch at once would be held twice."""
+    some, held = [], 0
+    for text in texts:
+        some.append(text.as_py())
+        held += len(some[-1])
+        if held >= size:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
+
+
 def encoded(text: Column, path: str) -> Column:
     """The ids of a text as binary: little-endian unsigned 32-bit integers."""
 
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
-        of = encoder(path).encode
-        return pa.array([of(t) for t in texts.to_pylist()], pa.binary())
+        known, ids = encoder(path), []
+        for some in together(texts, TOGETHER):
+            known.learn(some)
+            ids += map(known.encode, some)
+        return pa.array(ids, pa.binary())
 
     return encode(text)
 
@@ -188,7 +305,7 @@ def decoded(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def decode(values: pa.Array) -> pa.Array:
         of = encoder(path).decode
-        return pa.array([of(v) for v in values.to_pylist()], pa.string())
+        return pa.array([of(v.as_py()) for v in values], pa.string())
 
     return decode(ids)
 
