@@ -26,17 +26,18 @@ from vaultgauge.llm.shared import text_of
 SIZE = 2048
 #: Closes each document.
 END_ID = 1
-#: Partially filled windows that a task holds; beyond, they are filled up as at the end. Bounds memory only.
-OPEN_WINDOWS = 20_000
+#: Bytes of ids in partially filled windows that a task holds; beyond, they are filled up as at the end, so placement starts anew
+#: there. Bounds memory: a task packs some 16,000 half-filled windows of the default size together.
+OPEN_BYTES = 64 << 20
 #: Bytes of ids in a batch of results.
 BATCH_BYTES = 4 << 20
 
 
 class FastEncoder(Encoder):
-    """The same ids as Encoder, by the tiktoken library: the method of this operator isn't encoding."""
+    """The same ids as Encoder, by the tiktoken library: the method of this operator isn't encoding. It needs the tokens, no merges."""
 
     def __init__(self, path: str):
-        self.vocabulary = Vocabulary(path)
+        self.vocabulary = Vocabulary(path, with_merges=False)
         ranks = tiktoken.Encoding("bpe", pat_str=PIECES, mergeable_ranks=self.vocabulary.ids, special_tokens={})
         self.encode_ordinary = ranks.encode_ordinary
         self.odd_spaces = re.compile(ODD_SPACES)
@@ -46,7 +47,7 @@ class FastEncoder(Encoder):
         return np.array(self.encode_ordinary(text), "<u4").tobytes()
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def encoder(path: str) -> FastEncoder:
     return FastEncoder(path)
 
@@ -54,8 +55,8 @@ def encoder(path: str) -> FastEncoder:
 class Packer:
     """Packs the documents of one partition. Rows: doc, start, length, ids, doc_tokens, sequence number, offset."""
 
-    def __init__(self, size: int = SIZE, open_windows: int = OPEN_WINDOWS):
-        self.size, self.open_windows = size, open_windows
+    def __init__(self, size: int = SIZE, open_bytes: int = OPEN_BYTES):
+        self.size, self.open_bytes = size, open_bytes
         self.counts = np.zeros(size + 1, np.int64)  # windows by fill level; full ones aren't counted
         self.at_level: list[list[list[tuple]]] = [[] for _ in range(size)]
         self.sequences = 0
@@ -69,7 +70,7 @@ class Packer:
             yield from self._emit([(doc, start, ids[4 * start : 4 * (start + size)], total)])
         if rest:
             yield from self._place((doc, total - rest, ids[4 * (total - rest) :], total), rest)
-            if self.held > self.open_windows:
+            if self.held > self.open_bytes:
                 yield from self.close()
 
     def level_for(self, length: int) -> int:
@@ -89,7 +90,7 @@ class Packer:
         if level:
             window = self.at_level[level].pop()
             self.counts[level] -= 1
-            self.held -= 1
+            self.held -= 4 * level
         else:
             window = []
         window.append(piece)
@@ -98,7 +99,7 @@ class Packer:
         else:
             self.at_level[level + length].append(window)
             self.counts[level + length] += 1
-            self.held += 1
+            self.held += 4 * (level + length)
 
     def close(self) -> Iterator[tuple]:
         """Fills the open windows with pieces of the emptiest, and cuts the last one into powers of two."""
@@ -176,8 +177,8 @@ def packed(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -
             for b in batches:
                 nonlocal arrow_type
                 arrow_type = b.schema.field(0).type
-                for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    yield from packer.add(doc, encode(text) + end)
+                for doc, text in zip(b.column(0), b.column(1), strict=True):  # one by one: a batch of texts isn't held twice
+                    yield from packer.add(doc.as_py(), encode(text.as_py()) + end)
             yield from packer.close()
 
         for row in results():
