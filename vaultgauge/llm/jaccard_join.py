@@ -56,16 +56,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 @functools.cache
-def _constants() -> tuple[np.ndarray, np.ndarray, Kept]:
+def _constants() -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         places = _mix(np.arange(1, SHINGLE_WORDS + 1, dtype=_U64) * _STEP) | _U64(1)
         factors = _mix(np.arange(101, 101 + COORDINATES, dtype=_U64) * _STEP) | _U64(1)
-    return places, factors, Kept(lambda w: xxhash.xxh64_intdigest(w), 500_000)
+    return places, factors
 
 
-def shingles(text: str) -> np.ndarray:
+def word_hashes() -> Kept:
+    """Hashes of words. One per task, so that its memory goes with the task."""
+    return Kept(xxhash.xxh64_intdigest, 200_000)
+
+
+def shingles(text: str, hashes: Kept) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of five words in lower case; fewer words are one run, no words none."""
-    places, _, hashes = _constants()
+    places, _ = _constants()
     words = text.lower().split()
     if not words:
         return np.empty(0, _U64)
@@ -79,7 +84,7 @@ def shingles(text: str) -> np.ndarray:
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
-    _, factors, _ = _constants()
+    _, factors = _constants()
     least = np.full(COORDINATES, np.iinfo(np.uint32).max, np.uint32)
     with np.errstate(over="ignore"):
         for i in range(0, len(hashes), 4096):
@@ -95,8 +100,10 @@ def digest_of(hashes: np.ndarray) -> bytes:
 
 def class_digest(text: Column) -> Column:
     @F.arrow_udf(T.BinaryType())
-    def digest(texts: pa.Array) -> pa.Array:
-        return pa.array([digest_of(shingles(t)) for t in texts.to_pylist()], pa.binary())
+    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        hashes = word_hashes()
+        for texts in batches:
+            yield pa.array([digest_of(shingles(t.as_py(), hashes)) for t in texts], pa.binary())
 
     return digest(text)
 
@@ -105,13 +112,18 @@ def _signatures(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = word_hashes()
         for b in batches:
-            sets = [shingles(t) for t in b.column(1).to_pylist()]
+            digests, sizes, signatures = [], [], []
+            for text in b.column(1):  # one by one: neither texts nor sets of a batch are held together
+                s = shingles(text.as_py(), hashes)
+                digests.append(digest_of(s))
+                sizes.append(len(s))
+                signatures.append(signature(s).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([digest_of(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([signature(s).tobytes() for s in sets], pa.binary())],
+                [b.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())],
                 ["doc_id", "digest", "size", "signature"],
-            )
+            )
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(sign, f"doc_id {id_type}, digest binary, size bigint, signature binary")
 
@@ -255,7 +267,8 @@ def _overlaps(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
 def _verified(group: pa.Table, threshold: float) -> tuple[list[bytes], np.ndarray]:
     """The classes of a piece, and the pairs of them that are at the threshold or above, exactly."""
     place = group["place"].to_numpy()  # in order
-    sets = [shingles(t) for t in group["text"].to_pylist()]
+    hashes = word_hashes()
+    sets = [shingles(t, hashes) for t in group["text"].to_pylist()]
     partners = group["partners"].combine_chunks()
     first = np.repeat(np.arange(len(sets)), partners.value_lengths().to_numpy(zero_copy_only=False))
     second = np.searchsorted(place, partners.flatten().to_numpy(zero_copy_only=False))
