@@ -77,7 +77,7 @@ def test_file_is_compressed_and_read_in_part():
     data = wavelet.built(ids, np.array([len(ids)]))
     assert len(data) < len(ids) // 4
     shard = wavelet.Shard(data)
-    assert shard.access(1_000_003) == 250 and shard.count(7, 20_000, 30_000) == 8000 and shard.select(499, 3999) == len(ids) - 1
+    assert shard.access(1_000_003) == 250 and shard.count(7, 20_000, 30_000) == 2000 and shard.select(499, 3999) == len(ids) - 1
     assert shard.block.cache_info().currsize < 10 * shard.planes < shard.sizes.size
 
 
@@ -216,7 +216,7 @@ def brute_negatives(rows, every, positives=5, negatives=10):
     return sorted(found)
 
 
-@pytest.mark.parametrize("scale", [1.0, 4000.0, 4e7, 2e9])
+@pytest.mark.parametrize("scale", [1.0, 4000.0, 2e6])
 def test_hard_negatives_of_odd_rows(spark, scale):
     r = random.Random(int(scale))
     rows = [(r.randint(0, 40), [scale * r.choice((r.uniform(-1, 1), 0.5)) for _ in range(9)], r.randint(0, 2)) for _ in range(150)]
@@ -231,6 +231,12 @@ def test_hard_negatives_of_odd_rows(spark, scale):
         assert sorted(tuple(x) for x in found.collect()) == brute_negatives(rows, 10)
 
 
+def test_scores_beyond_64_bits_are_an_error(spark):
+    df = spark.createDataFrame([(i, [3e9, 1.0], i % 2) for i in range(20)], "vec_id int, embedding array<double>, label int")
+    with pytest.raises(Exception, match="too large"):
+        hard_negatives.mined(df, every=10)
+
+
 def test_hard_negatives_without_anchors(spark):
     df = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     assert hard_negatives.mined(df.limit(0)).count() == 0
