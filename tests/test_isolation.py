@@ -1,0 +1,127 @@
+"""Checks that spoil a fused pass are found by halving."""
+
+import math
+import random
+
+import pytest
+
+from tests.test_run import outcomes
+from vaultgauge import Vault, validate
+from vaultgauge.plans import runner
+from vaultgauge.plans.isolation import outcomes_of
+
+
+class Passes:
+    """Counts what it runs; a pass with a bad slot fails as a whole."""
+
+    def __init__(self, bad=(), unanalyzable=()):
+        self.bad, self.unanalyzable, self.ran = set(bad), set(unanalyzable), []
+
+    def run(self, slots):
+        self.analyzed(slots)
+        self.ran.append(list(slots))
+        if hit := [s for s in slots if s in self.bad]:
+            raise ValueError(f"bad: {hit[0]}")
+        return {s: (s[1] * 10, None) for s in slots}
+
+    def analyzed(self, slots):
+        if hit := [s for s in slots if s in self.unanalyzable]:
+            raise TypeError(f"no column: {hit[0]}")
+
+
+SLOTS = [("t", n) for n in range(14)]
+
+
+def expected(passes):
+    return {
+        s: (None, f"bad: {s}") if s in passes.bad else (None, f"no column: {s}") if s in passes.unanalyzable else (s[1] * 10, None) for s in SLOTS
+    }
+
+
+@pytest.mark.parametrize("bad", SLOTS)
+def test_one_bad_slot_costs_few_scans(bad):
+    passes = Passes([bad])
+    assert outcomes_of(SLOTS, passes.run, passes.analyzed) == expected(passes)
+    assert len(passes.ran) <= 2 * math.log2(len(SLOTS))
+
+
+def test_no_bad_slot_is_one_scan():
+    passes = Passes()
+    assert outcomes_of(SLOTS, passes.run, passes.analyzed) == expected(passes) and len(passes.ran) == 1
+    assert outcomes_of([], passes.run, passes.analyzed) == {}
+
+
+def test_slots_that_fail_in_analysis_cost_no_scan_of_their_own():
+    passes = Passes(unanalyzable=[SLOTS[3], SLOTS[9]])
+    assert outcomes_of(SLOTS, passes.run, passes.analyzed) == expected(passes) and len(passes.ran) == 1
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_any_number_of_bad_slots(seed):
+    r = random.Random(seed)
+    bad = r.sample(SLOTS, r.randint(0, 14))
+    passes = Passes(bad, r.sample([s for s in SLOTS if s not in bad], r.randint(0, 14 - len(bad))))
+    assert outcomes_of(SLOTS, passes.run, passes.analyzed) == expected(passes)
+    # Both halvings, and the others one by one.
+    assert len(passes.ran) <= 1 + 2 * (math.ceil(math.log2(14)) + 2) + len(SLOTS)
+
+
+def test_another_plan_counts_before_the_error_does():
+    passes, other = Passes(SLOTS[:2]), Passes(SLOTS[:1])
+    found = outcomes_of(SLOTS, passes.run, passes.analyzed, other.run)
+    assert found == {**expected(Passes()), SLOTS[0]: (None, f"bad: {SLOTS[0]}")}
+    alone = Passes(SLOTS[:1])
+    assert outcomes_of(SLOTS[:1], alone.run, alone.analyzed, Passes().run) == {SLOTS[0]: (0, None)} and len(alone.ran) == 1
+
+
+@pytest.fixture
+def unreadable_column(spark, tmp_path):
+    """A satellite whose record source was written with another type than the table has."""
+    spark.createDataFrame([("k", 1), ("l", None)], "a_hk string, record_source int").selectExpr(
+        "a_hk", "CAST('2024-01-01' AS TIMESTAMP) AS load_dts", "record_source", "a_hk AS hash_diff"
+    ).write.parquet(str(tmp_path / "sat"))
+    table = spark.read.schema("a_hk string, load_dts timestamp, record_source binary, hash_diff string").parquet(str(tmp_path / "sat"))
+    return Vault.from_frames(spark, {"hub_a": spark.createDataFrame([("k",)], "a_hk string"), "sat_a": table})
+
+
+def test_unreadable_column_spoils_its_own_checks(unreadable_column, settings, monkeypatch):
+    scans = []
+    original = runner.profile_frame
+
+    def counted(vault, target, slots, used):
+        frame = original(vault, target, slots, used)
+        collect = frame.collect
+
+        def run():
+            scans.append((target.name, len(slots)))
+            return collect()
+
+        frame.collect = run
+        return frame
+
+    monkeypatch.setattr(runner, "profile_frame", counted)
+    report = validate(unreadable_column, settings)
+    found = {r.check_id: (r.status, r.value) for r in report.results.collect() if r.table_name == "SAT_A"}
+    assert {c for c, (status, _) in found.items() if status == "ERROR"} == {"T3", "R1", "R2"}
+    assert found["S3"] == ("FAIL", 1) and found["S2"] == ("PASS", 0) and found["F3"][1] == 29
+    # One slot of the fused pass is bad; the pass of the sources has two, both of them.
+    fused = max(n for table, n in scans if table == "SAT_A")
+    of_rows = [n for table, n in scans if table == "SAT_A"]
+    assert fused >= 13 and len(of_rows) <= 2 * math.log2(14) + 4
+    assert all(r.status != "ERROR" for r in report.results.collect() if r.table_name == "HUB_A")
+
+
+def test_sizes_survive_a_bad_column(unreadable_column, settings):
+    """The row counts that choose the plans of the key checks are kept, so a bad column changes no plan."""
+    plan = runner.make_plan(unreadable_column, settings)
+    found = {}
+    runner._run(unreadable_column.spark, runner._profile_passes(unreadable_column, plan, settings), settings, found)
+    assert found["SAT_A", "rows"] == (2, None) and found["SAT_A", "key_bytes:A_HK"] == (2, None)
+
+
+def test_every_check_of_an_unreadable_table_is_an_error(spark, settings, tmp_path):
+    (tmp_path / "sat").mkdir()
+    (tmp_path / "sat" / "part.parquet").write_bytes(b"no parquet")
+    schema = "a_hk string, load_dts timestamp, record_source string, hash_diff string"
+    vault = Vault.from_frames(spark, {"sat_a": spark.read.schema(schema).parquet(str(tmp_path / "sat"))})
+    assert {status for status, _ in outcomes(validate(vault, settings)).values()} == {"ERROR"}

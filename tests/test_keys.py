@@ -29,8 +29,8 @@ def test_duplicates(spark, seed):
     expected = sum(n > 1 for n in Counter(rows).values())
     assert value(duplicate_groups(df, ["a", "b"])) == expected
     assert can_hash_first(df, ["a", "b"])
-    # Second round over the rows of marked places; over all rows, as most of eight places are marked; no first round.
-    for limit in (1 << 20, 64 * 8, 0):
+    # Many places; one bitmap of them; no first round.
+    for limit in (1 << 20, 4096, 0):
         assert value(duplicate_groups_hash_first(df, ["a", "b"], limit)) == expected
 
 
@@ -48,9 +48,24 @@ def test_equal_hashes_are_not_equal_keys(spark):
 
 
 def test_rows_at_a_marked_place_by_chance(spark):
-    # One duplicate among a thousand keys on five places.
-    df = frame(spark, [*map(str, range(1000)), "7"])
-    assert value(duplicate_groups_hash_first(df, ["k"], 64 * 5)) == 1
+    # Some duplicates among two hundred thousand keys on 32,768 places: every key has neighbours at its place.
+    df = spark.range(200_000).selectExpr("string(id) AS k").union(spark.range(0, 200_000, 40_000).selectExpr("string(id) AS k"))
+    assert value(duplicate_groups_hash_first(df, ["k"], 4096)) == 5
+
+
+def test_bits_of_all_kinds_of_places(spark):
+    # Nearly every bit of one bitmap is marked, and then every eighth duplicate stands alone at its place.
+    df = spark.range(300_000).selectExpr("concat('k', id % 150000) AS k", "id % 2 AS x")
+    assert value(duplicate_groups_hash_first(df, ["k"], 4096)) == 150_000
+    assert value(duplicate_groups_hash_first(df, ["k", "x"], 1 << 22)) == value(duplicate_groups(df, ["k", "x"]))
+    assert value(duplicate_groups_hash_first(spark.range(5000).selectExpr("id AS k"), ["k"], 1 << 22)) == 0
+
+
+def test_many_duplicates_by_hashes_first(spark):
+    df = spark.range(3_000_000).selectExpr("id % 2000000 AS k")
+    assert value(duplicate_groups_hash_first(df, ["k"], 8 << 20)) == 1_000_000
+    plan = plan_of(duplicate_groups_hash_first(df, ["k"], 8 << 20))
+    assert "BroadcastHashJoin" in plan and "Python" not in plan and "NestedLoop" not in plan
 
 
 def test_no_duplicates_and_no_rows(spark):

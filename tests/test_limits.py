@@ -1,0 +1,97 @@
+"""Passes with a time limit: a stuck table holds up neither the others nor the report."""
+
+import threading
+import time
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_run import outcomes
+from vaultgauge import Vault, validate
+from vaultgauge.plans import runner
+
+HUB = "a_hk string, load_dts timestamp, record_source string"
+
+
+@pytest.fixture
+def fast(spark):
+    return spark.createDataFrame([("k", None, "s")], HUB)
+
+
+def stuck_table(spark):
+    """A table that takes very long to read."""
+
+    @F.udf("string")
+    def slow(n):
+        time.sleep(120)
+        return str(n)
+
+    return spark.range(2).select(slow("id").alias("a_hk"), F.lit(None).cast("timestamp").alias("load_dts"), F.lit("s").alias("record_source"))
+
+
+def test_a_stuck_table_is_stopped(spark, settings, fast):
+    began = time.monotonic()
+    vault = Vault.from_frames(spark, {"hub_a": fast, "sat_a": stuck_table(spark)})
+    report = validate(vault, replace(settings, pass_seconds=8, concurrent_passes=2))
+    found = {(r.table_name, r.check_id): r for r in report.results.collect()}
+    assert time.monotonic() - began < 90
+    assert {r.status for (t, _), r in found.items() if t == "HUB_A"} <= {"PASS", "FAIL", "INFO"}
+    late = [r for (t, _), r in found.items() if t == "SAT_A" and r.status == "ERROR"]
+    assert found["SAT_A", "S1"].status == "ERROR" and late
+    assert all(r.error == "PASS_STOPPED: it took longer than 8 seconds" for r in late)
+    assert not [j for j in spark.sparkContext.statusTracker().getActiveJobsIds()]
+
+
+def test_a_pass_that_hangs_outside_of_jobs_is_left(spark, settings, fast, monkeypatch):
+    released = threading.Event()
+
+    def open_table(name):
+        if name == "sat_a":
+            released.wait(60)
+        return fast
+
+    monkeypatch.setattr(runner, "GRACE_SECONDS", 0.5)
+    vault = Vault(spark, ["hub_a", "sat_a"], open_table, lambda name: ["a_hk", "load_dts", "record_source"])
+    began = time.monotonic()
+    try:
+        found = outcomes(validate(vault, replace(settings, pass_seconds=5, concurrent_passes=1)))
+        assert time.monotonic() - began < 50
+    finally:
+        released.set()
+    statuses = {t: {s for (table, _), (s, _) in found.items() if table == t} for t in ("HUB_A", "SAT_A")}
+    assert statuses["SAT_A"] == {"ERROR"} and "ERROR" not in statuses["HUB_A"]
+
+
+def test_a_limit_changes_no_value(spark, settings, fast):
+    vault = Vault.from_frames(spark, {"hub_a": fast, "sat_a": fast})
+    assert outcomes(validate(vault, replace(settings, pass_seconds=300))) == outcomes(validate(vault, settings))
+
+
+def test_each_pass_has_a_pool_and_a_name(spark, settings, fast, monkeypatch):
+    seen = []
+    original = runner._run_pass
+
+    def looked_at(one, *rest):
+        context = spark.sparkContext
+        seen.append((context.getLocalProperty("spark.scheduler.pool"), context.getLocalProperty("spark.job.description"), context.getJobTags()))
+        return original(one, *rest)
+
+    monkeypatch.setattr(runner, "_run_pass", looked_at)
+    validate(Vault.from_frames(spark, {"hub_a": fast, "sat_a": fast}), settings)
+    assert len({pool for pool, _, _ in seen}) > 1 and all(len(tags) == 1 for *_, tags in seen)
+    assert any("SAT_A.S3" in name for _, name, _ in seen)
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None and not spark.sparkContext.getJobTags()
+
+
+def test_a_pass_that_breaks_off_is_an_error(spark, settings, fast, monkeypatch):
+    original = runner._run_pass
+
+    def breaks_off(one, *rest):
+        if any(table == "SAT_A" for table, _ in one.slots):
+            raise SystemExit("out of memory")
+        return original(one, *rest)
+
+    monkeypatch.setattr(runner, "_run_pass", breaks_off)
+    found = validate(Vault.from_frames(spark, {"hub_a": fast, "sat_a": fast}), settings).results.collect()
+    assert {r.status for r in found if r.table_name == "SAT_A"} == {"ERROR"} and "ERROR" not in {r.status for r in found if r.table_name == "HUB_A"}

@@ -83,7 +83,14 @@ def profile(df: DataFrame, target: Target, wanted: Collection[str], settings: Se
     measures = _measures(df, target, load, wanted, settings)
     figures = df.agg(*[F.expr(f"{over_rows} AS {name}") for name, over_rows in measures.items()])
 
-    clock_error = _clock_error(target, load, measures)
+    return slots_of_figures(figures, target, wanted, load, "malformed" in measures, settings)
+
+
+def slots_of_figures(
+    figures: DataFrame, target: Target, wanted: Collection[str], load: LoadTime | None, counts_malformed: bool, settings: Settings
+) -> DataFrame:
+    """The wanted slots in long form from the figures of the table."""
+    clock_error = _clock_error(target, load, counts_malformed)
     values = _values(target, settings)
     cells = []
     for slot in sorted(wanted):
@@ -99,6 +106,10 @@ def profile(df: DataFrame, target: Target, wanted: Collection[str], settings: Se
 
 def _sources(df: DataFrame, target: Target, wanted: set[str], settings: Settings) -> DataFrame:
     per_source = df.groupBy(F.expr(f"{quoted(target.record_source)} AS source")).agg(F.expr("count(*) AS source_rows"))
+    return slots_of_sources(per_source, target, wanted, settings)
+
+
+def slots_of_sources(per_source: DataFrame, target: Target, wanted: set[str], settings: Settings) -> DataFrame:
     figures = per_source.selectExpr("sum(source_rows) AS rows", "max(source_rows) AS top_source_rows", "count(source) AS sources")
     values = _values(target, settings)
     return _long_form(
@@ -120,7 +131,7 @@ def _measures(
     measures = {ROWS: "count(*)"}
     for slot, column in null_slots(target).items():
         if slot in wanted:
-            measures[_name(slot)] = _rows_where(f"{quoted(column)} IS NULL")
+            measures[measure_name(slot)] = _rows_where(f"{quoted(column)} IS NULL")
     if wanted & CLOCK_SLOTS and load.is_usable:
         if wanted & {"T2", "F2"}:
             measures["future"] = _rows_where(f"{load.value} > {settings.now}")
@@ -139,28 +150,30 @@ def _measures(
             measures["malformed"] = _rows_where(f"{load.raw} IS NOT NULL AND {load.value} IS NULL")
     for slot in wanted:
         if slot.startswith(KEY_BYTES):
-            column = slot.removeprefix(KEY_BYTES).removeprefix(":") or target.own_hk
-            is_text = isinstance(column_type(df, column), (T.StringType, T.BinaryType))
-            width = f"octet_length({quoted(column)})" if is_text else str(BYTES_OF_OTHER_KEYS)
-            measures[_name(slot)] = f"sum(CAST({width} AS BIGINT))"
+            measures[measure_name(slot)] = bytes_of(df, slot.removeprefix(KEY_BYTES).removeprefix(":") or target.own_hk)
     return measures
 
 
+def bytes_of(df: DataFrame, column: str) -> str:
+    is_text = isinstance(column_type(df, column), (T.StringType, T.BinaryType))
+    return f"sum(CAST({f'octet_length({quoted(column)})' if is_text else BYTES_OF_OTHER_KEYS} AS BIGINT))"
+
+
 def _rows_where(condition: str) -> str:
     # Spark computes count_if arguments in a projection of their own; this form needs none.
     return f"count(CASE WHEN {condition} THEN 1 END)"
 
 
-def _name(slot: str) -> str:
+def measure_name(slot: str) -> str:
     return quoted("nulls_" + slot)
 
 
-def _clock_error(target: Target, load: LoadTime | None, measures: dict) -> str | None:
+def _clock_error(target: Target, load: LoadTime | None, counts_malformed: bool) -> str | None:
     """Why the load times of the table cannot be read, as an expression over its figures."""
     if load is not None and not load.is_usable:
         kind = load.dtype.simpleString()
         return literal(f"DATATYPE_MISMATCH: column {target.load_dts} of type {kind} holds no load time")
-    if "malformed" in measures:
+    if counts_malformed:
         text = literal(f" value(s) of column {target.load_dts} cannot be read as a timestamp")
         return f"CASE WHEN malformed > 0 THEN concat('CAST_INVALID_INPUT: ', malformed, {text}) END"
     return None
@@ -172,11 +185,11 @@ def _values(target: Target, settings: Settings) -> dict[str, str]:
     # Average over the days that have rows.
     usual = f"try_divide({' + '.join(prior)}, {' + '.join(f'int({p} > 0)' for p in prior)})"
     return {
-        **{slot: _name(slot) for slot in null_slots(target)},
+        **{slot: measure_name(slot) for slot in null_slots(target)},
         "T4": ROWS,
         ROWS: ROWS,
-        KEY_BYTES: _name(KEY_BYTES),
-        **{f"{KEY_BYTES}:{key}": _name(f"{KEY_BYTES}:{key}") for key in target.references},
+        KEY_BYTES: measure_name(KEY_BYTES),
+        **{f"{KEY_BYTES}:{key}": measure_name(f"{KEY_BYTES}:{key}") for key in target.references},
         "T2": "future",
         "F2": "future",
         "F1": f"int(latest < {settings.now} - make_dt_interval(0, {settings.stale_hours}))",

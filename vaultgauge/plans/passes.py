@@ -7,12 +7,12 @@ from collections.abc import Callable, Collection, Iterable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from vaultgauge.functions.clock import column_type
 from vaultgauge.functions.storage import can_store
-from vaultgauge.operators.grain import can_hash_first, duplicate_groups, duplicate_groups_hash_first
+from vaultgauge.operators.grain import can_hash_first, duplicate_groups, duplicate_groups_hash_first, duplicate_groups_of
 from vaultgauge.operators.orphans import Child, orphan_rows, shared_key_figures
 from vaultgauge.operators.profile import profile, profile_slots
 from vaultgauge.operators.target import Target
@@ -30,6 +30,7 @@ class Plan(NamedTuple):
     specs: list[Row]
     by_table: dict[str, list[Row]]
     catalog: DataFrame
+    numbers: dict[tuple[str, str], int]  # of the checks by table and slot, in the order of the whole plan
 
     def only(self, checks: Collection[str] | None, tables: Collection[str] | None) -> Plan:
         """The plan with the given checks and tables; unknown ones are an error, not an empty report."""
@@ -68,7 +69,8 @@ def make_plan(vault: Vault, settings: Settings) -> Plan:
         by_table.setdefault(s.table_name, []).append(s)
         if s.check_id in ("L2", "L3", "S3"):
             targets[s.table_name].references[s.key_column] = s.parent_name
-    return Plan(targets, specs, by_table, tables)
+    numbers = {(s.table_name, s.slot): n for n, s in enumerate(specs, start=1)}
+    return Plan(targets, specs, by_table, tables, numbers)
 
 
 def grain_keys(target: Target, slot: str) -> list[str] | None:
@@ -88,10 +90,10 @@ def key_of_orphans(target: Target, slot: str) -> str | None:
     return slot.removeprefix("L3:") if slot.startswith("L3:") else None
 
 
-def _long_form(df: DataFrame, target: Target, slot: str) -> DataFrame:
+def _long_form(df: DataFrame, target: Target, slot: Column) -> DataFrame:
     return df.select(
         F.lit(target.name).alias("table_name"),
-        F.lit(slot).alias("slot"),
+        slot.alias("slot"),
         F.col("value").cast("bigint").alias("value"),
         F.lit(None).cast("string").alias("error"),
     )
@@ -101,21 +103,33 @@ def profile_frame(vault: Vault, target: Target, slots: Iterable[str], settings:
     return profile(vault.table(target.source_name), target, slots, settings)
 
 
-def grain_frame(vault: Vault, target: Target, slot: str, settings: Settings, hash_first: bool = False) -> DataFrame:
+def grain_rounds(target: Target, slots: Sequence[str], settings: Settings) -> list[list[str]]:
+    """Which duplicate checks of a table share a scan: all of them, but for those by hashes first, which have rounds of their own,
+    and checks whose keys are the same columns."""
+    if settings.hash_first or not settings.share_grains or len({frozenset(grain_keys(target, s)) for s in slots}) < len(slots):
+        return [[s] for s in slots]
+    return [list(slots)] if slots else []
+
+
+def grain_frame(vault: Vault, target: Target, slots: Sequence[str], settings: Settings, hash_first: bool = False) -> DataFrame:
+    """Duplicate checks of a table, of one key set or several."""
     df = vault.table(target.source_name)
+    if len(slots) > 1:
+        return _long_form(duplicate_groups_of(df, {s: grain_keys(target, s) for s in slots}), target, F.col("slot"))
+    (slot,) = slots
     keys = grain_keys(target, slot)
     if hash_first and can_hash_first(df, keys) and can_store(vault.spark):
         groups = duplicate_groups_hash_first(df, keys, settings.broadcast_key_bytes)
     else:
         groups = duplicate_groups(df, keys)
-    return _long_form(groups, target, slot)
+    return _long_form(groups, target, F.lit(slot))
 
 
 def orphan_frame(
     vault: Vault, target: Target, slot: str, parent: Target, broadcast_parent: bool = False, broadcast_child: bool = False
 ) -> DataFrame:
     child = Child(target.name, slot, vault.table(target.source_name), key_of_orphans(target, slot))
-    return _long_form(orphan_rows(child, vault.table(parent.source_name), broadcast_parent, broadcast_child), target, slot)
+    return _long_form(orphan_rows(child, vault.table(parent.source_name), broadcast_parent, broadcast_child), target, F.lit(slot))
 
 
 def shared_frame(
@@ -164,18 +178,20 @@ def check_values(
     children: dict[tuple[str, str], list[tuple[Target, str]]] = {}
     for target in plan.targets.values():
         slots = [s.slot for s in plan.by_table[target.name] if wanted(s.check_id)]
+        grains: list[str] = []
         of_profile = [s for s in slots if s in profile_slots(target)]
         if of_profile:
             frames.append(profile_frame(vault, target, of_profile, settings))
         for slot in slots:
             if grain_keys(target, slot):
-                frames.append(grain_frame(vault, target, slot, settings))
+                grains.append(slot)
             elif key := key_of_orphans(target, slot):
                 parent = target.references[key]
                 if shared:
                     children.setdefault((parent, key), []).append((target, slot))
                 else:
                     frames.append(orphan_frame(vault, target, slot, plan.targets[parent]))
+        frames += [grain_frame(vault, target, together, settings) for together in grain_rounds(target, grains, settings)]
     for (parent, key), members in children.items():
         for start in range(0, len(members), settings.children_per_round):
             batch = members[start : start + settings.children_per_round]

@@ -43,6 +43,18 @@ class Settings:
     broadcast_key_bytes: int = 64 * 1024 * 1024
     # Children that share one shuffle with their parent; more children take another round.
     children_per_round: int = 8
+    # Tables bucketed by their keys are joined and grouped bucket by bucket, without a shuffle. Not where one bucket's files are
+    # larger than this many bytes and than so many times the average: it would be a single task.
+    use_buckets: bool = True
+    hot_bucket_bytes: int = 1024 * 1024 * 1024
+    hot_bucket_factor: float = 3.0
+    # A folder for partial results per file: a later run reads new and changed files only, where a table is a plain scan of files.
+    # Shared by driver and executors; None: every run reads all rows. Pays unless nearly every row has a source of its own.
+    partials_folder: str | None = None
+    # Seconds after which a pass is stopped, and its checks are errors; None: never.
+    pass_seconds: float | None = None
+    # Duplicate checks of one table share a scan and a shuffle (grouping sets). The values are the same.
+    share_grains: bool = True
     # Duplicates: group 64-bit hashes first and full keys only where hashes repeat. Pays where keys are wide and duplicates
     # rare; needs spark.checkpoint.dir. The values are the same, and where it fails the plain grouping answers.
     hash_first: bool = False

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,16 @@ from vaultgauge.functions.sqltext import quoted
 LISTING_PAUSES = (0.2, 1.0)
 
 
+def _session_without_buckets(spark: SparkSession) -> SparkSession:
+    """A session of the same application and with the same settings, but for bucketed scans."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.sources.bucketing.enabled", "false")
+    return session
+
+
 class Vault:
     """Tables by name, in catalog order. A table is opened only when one of its checks is planned."""
 
@@ -25,6 +36,8 @@ class Vault:
         open_table: Callable[[str], DataFrame],
         column_names: Callable[[str], list[str]],
         qualifier: Sequence[str] = (),
+        is_bucketed: Callable[[str], bool] = lambda name: False,
+        unbucketed: Callable[[], Vault] | None = None,
     ):
         self.spark = spark
         self.names = names
@@ -32,6 +45,9 @@ class Vault:
         self._open = open_table
         self._opened: dict[str, DataFrame] = {}
         self._column_names = column_names
+        self._bucketed: dict[str, bool] = {}
+        self._is_bucketed = is_bucketed
+        self._make_unbucketed = unbucketed
 
     @classmethod
     def from_database(cls, spark: SparkSession, database: str | Sequence[str]) -> Vault:
@@ -49,6 +65,8 @@ class Vault:
             lambda name: spark.table(full_name(name)),
             lambda name: [c.name for c in spark.catalog.listColumns(full_name(name))],
             qualifier=parts,
+            is_bucketed=lambda name: any(c.isBucket for c in spark.catalog.listColumns(full_name(name))),
+            unbucketed=lambda: cls.from_database(_session_without_buckets(spark), parts),
         )
 
     @classmethod
@@ -72,6 +90,16 @@ class Vault:
             self._opened[name] = self._open(name)
         return self._opened[name]
 
+    def is_bucketed(self, name: str) -> bool:
+        if name not in self._bucketed:
+            self._bucketed[name] = self._is_bucketed(name)
+        return self._bucketed[name]
+
+    @cached_property
+    def unbucketed(self) -> Vault:
+        """The same tables, scanned by files instead of by buckets, so that a large bucket is read by many tasks."""
+        return self._make_unbucketed() if self._make_unbucketed else self
+
     def _columns_or_error(self, name: str) -> tuple[list[str], str | None]:
         """The columns of a table, or why they could not be listed after some attempts; its row count check reports that."""
         for pause in (*LISTING_PAUSES, None):

@@ -215,12 +215,12 @@ results AS (
 """
 
 
-def _check(check_id: str) -> str:
+def _check(*check_ids: str) -> str:
     rows = [
         f"SELECT {_text(t.name)} AS table_name, {_text(c + ':' + key if c in ('L2', 'L3') else c)} AS slot, "
         f"CAST(coalesce(({_value(t, c, key, parent)}), 0) AS BIGINT) AS value"
         for t, c, key, parent in _generated(MAIN)
-        if c == check_id
+        if c in check_ids
     ]
     return f"{duckdb_ctes(MAIN_VIEWS)}\n" + "\nUNION ALL ".join(rows)
 
@@ -369,10 +369,13 @@ def oracle_sql() -> dict[str, str]:
             found[key + "_shared"] = found[key]
         if check_id in ("H2", "L4", "S2", "S5"):
             found[key + "_hash_first"] = found[key]
+    found["sat_duplicates_one_scan"] = _check("S2", "S5")
     over_results = {
         "check_values": "SELECT seq, table_name, check_id, value FROM results",
         "check_results": "SELECT * EXCLUDE (category_rank) FROM results",
         "check_results_shared": "SELECT seq, table_name, check_id, value, status FROM results",
+        "check_results_bucketed": "SELECT table_name, check_name, value, status FROM results",
+        "check_results_incremental": "SELECT table_name, check_name, value, status FROM results",
         "dq_score": f"SELECT {SCORE} AS dq_score, {BAND.format(SCORE)} AS band FROM results",
         "run_totals": f"SELECT count(*) AS checks, {STATUS_COUNTS}, CAST(0 AS BIGINT) AS warning, {INFO_COUNT}, "
         + ", ".join(

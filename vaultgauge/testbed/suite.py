@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vaultgauge.functions import naming
 from vaultgauge.functions.sqltext import literal
+from vaultgauge.functions.storage import remove
 from vaultgauge.plans import catalog as catalog_plan
 from vaultgauge.plans import summary
 from vaultgauge.plans.passes import checks_of, grain_frame, make_plan
@@ -148,7 +149,7 @@ def _hash_first(check_id: str) -> Query:
         settings = vaults.settings().resolved(spark)
         plan = make_plan(vault, settings)
         frames = [
-            grain_frame(vault, plan.targets[s.table_name], s.slot, settings, hash_first=True)
+            grain_frame(vault, plan.targets[s.table_name], [s.slot], settings, hash_first=True)
             for s in plan.specs
             if s.check_id == check_id
         ]
@@ -157,12 +158,35 @@ def _hash_first(check_id: str) -> Query:
     return query
 
 
+def sat_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both duplicate checks of each satellite from one scan of it."""
+    return checks_of(vaults.main_vault(spark, sf_dir), vaults.settings(), ["S2", "S5"]).select("table_name", "slot", "value")
+
+
 # ---- runs ----
 
 def report(spark: SparkSession, sf_dir: str, vault: str = "main", **changes) -> Report:
     return validate(VAULTS[vault](spark, sf_dir), vaults.settings(**changes))
 
 
+def check_results_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run over tables bucketed by their keys, with the plans of large parents."""
+    with vaults.bucketed_main_vault(spark, sf_dir) as vault:
+        results = validate(vault, vaults.settings(broadcast_key_bytes=0)).results  # rows of the driver: the tables may go
+    return results.select("table_name", "check_name", "value", "status")
+
+
+def check_results_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run over an unchanged vault: checks of rows come from the partial results that the first one kept."""
+    with vaults.bucketed_main_vault(spark, sf_dir) as vault:
+        folder = f"{spark.catalog.getDatabase(vault.qualifier[0]).locationUri}/_partials"
+        settings = vaults.settings(partials_folder=folder)
+        validate(vault, settings)
+        results = validate(Vault.from_database(spark, vault.qualifier), settings).results
+        remove(spark, folder)
+    return results.select("table_name", "check_name", "value", "status")
+
+
 def _over_report(what: Callable[[Report], DataFrame], **changes) -> Query:
     return lambda spark, sf_dir: what(report(spark, sf_dir, **changes))
 
@@ -183,6 +207,7 @@ def queries() -> dict[str, Query]:
         "check_specs": _over_both_vaults(_check_specs),
     }
     found.update({key: _check(check_id) for check_id, key in CHECK_KEYS.items()})
+    found["sat_duplicates_one_scan"] = sat_duplicates
     for check_id in ("L3", "S3"):
         found[CHECK_KEYS[check_id] + "_shared"] = _check(check_id, shared=True)
     for check_id in ("H2", "L4", "S2", "S5"):
@@ -200,6 +225,8 @@ def queries() -> dict[str, Query]:
             "check_results_shared": _over_report(
                 lambda r: r.results.select("seq", "table_name", "check_id", "value", "status"), broadcast_key_bytes=0
             ),
+            "check_results_bucketed": check_results_bucketed,
+            "check_results_incremental": check_results_incremental,
             "check_errors": _over_report(
                 lambda r: r.results.select("seq", "table_name", "check_id", "value", "status", "error"), vault="quirk"
             ),

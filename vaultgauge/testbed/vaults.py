@@ -5,6 +5,10 @@ The text of each view runs in Spark and in DuckDB; {name} stands for a base tabl
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from vaultgauge.settings import Settings
@@ -117,6 +121,30 @@ def quirk_vault(spark: SparkSession, sf_dir: str) -> Vault:
     return Vault.from_frames(spark, frames(spark, sf_dir, QUIRK_VIEWS))
 
 
+BUCKETS = 8
+# The key that each table of the main vault is bucketed by: that of its parent, where it has one.
+BUCKET_KEYS = {
+    "hub_customer": "customer_hk", "hub_order": "order_hk", "hub_user": "user_hk", "link_customer_order": "customer_hk",
+    "sat_customer": "customer_hk", "sat_user": "user_hk", "s_user_daily": "user_hk", "sat_empty": "order_hk",
+}
+
+
+@contextmanager
+def bucketed_main_vault(spark: SparkSession, sf_dir: str) -> Iterator[Vault]:
+    """The main vault as bucketed tables of a database, which is dropped in the end."""
+    database = f"vaultgauge_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        for name, df in frames(spark, sf_dir, MAIN_VIEWS).items():
+            writer = df.write
+            if name in BUCKET_KEYS:
+                writer = writer.bucketBy(BUCKETS, BUCKET_KEYS[name])
+            writer.saveAsTable(f"{database}.{name}")
+        yield Vault.from_database(spark, database)
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def settings(**changes) -> Settings:
     return Settings(**{
         "database": "Main-Vault 1", "schema_label": "MAIN.VAULT", "as_of": AS_OF, "lenient_timestamps": False, **changes
