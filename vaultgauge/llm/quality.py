@@ -68,7 +68,7 @@ def statistics(text: str) -> list[float]:
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def _statistics(texts: pa.Array) -> pa.Array:
-    return pa.array([statistics(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
+    return pa.array([statistics(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
 
 def with_statistics(docs: DataFrame, name: str = "statistics") -> DataFrame:
@@ -175,9 +175,10 @@ THRESHOLD = 0.3
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that the classifier accepts, with all their columns; learns as quality_scores does."""
+    name, score = "__statistics", "__score"
     known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    found = with_statistics(docs.select("doc_id", "text")).select("doc_id", held_out().alias("held_out"), "statistics")
-    found = written(found, f"{shared_folder(docs.sparkSession, 'quality')}/statistics")
-    model = fit(found.where("not held_out").join(known, "doc_id"), "quality")
-    name = "__score"
-    return docs.withColumn(name, score_column(model, _statistics(text_of()))).where(F.col(name) >= threshold).drop(name)
+    # Written with their texts: the second pass needs no statistics of its own.
+    found = written(with_statistics(docs, name), f"{shared_folder(docs.sparkSession, 'quality')}/statistics")
+    learnt = found.where(~held_out()).select("doc_id", F.col(name).alias("statistics"))
+    model = fit(learnt.join(known, "doc_id"), "quality")
+    return found.withColumn(score, score_column(model, F.col(name))).where(F.col(score) >= threshold).drop(name, score)

@@ -185,7 +185,7 @@ def score_column(model: Distance | None, text: Column) -> Column:
 
     @F.arrow_udf(T.DoubleType())
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(t) for t in texts.to_pylist()], pa.float64())
+        return pa.array([model.score(t.as_py()) for t in texts], pa.float64())
 
     return score(text) if model else F.lit(0.0)
 
