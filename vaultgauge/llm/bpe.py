@@ -5,7 +5,7 @@ one possible last token. For each prefix, the automaton gives the tokens that ar
 compatible with the last token of what remains before it is stored, and following the stored tokens back from the end
 gives the ids. No merge is ever replayed over the text.
 
-Pieces repeat a lot, so each Python worker keeps the ids of the pieces that it has met, up to a fixed number of them.
+Pieces repeat a lot, so each task keeps the ids of the pieces that it has met, up to a fixed number of them.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from vaultgauge.llm.shared import text_of
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space on both sides of a space, or before one that ends the text: there a space need not begin a piece.
 ODD_SPACES = r"\s (?:\s|\Z)"
-#: Words whose ids a worker keeps; beyond, the older half goes. Bounds memory only.
+#: Words whose ids a task keeps; beyond, the older half goes. Bounds memory only.
 KEPT_WORDS = 400_000
 #: Pairs of tokens whose compatibility it keeps.
 KEPT_PAIRS = 1_000_000
@@ -68,6 +68,10 @@ class Kept(dict):
             self._age()
         self.update(more)
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
     def lacking(self, keys: set) -> set:
         """Those of the keys that neither generation has."""
         return keys.difference(self, self.older)
@@ -235,6 +239,11 @@ class Encoder:
         of = self.piece_ids.__getitem__
         self.word_ids.keep({w: of(own[0]) if len(own) == 1 else b"".join(map(of, own)) for w, own in pieces_of.items()})
 
+    def forget(self) -> None:
+        """Gives back what a task has learnt: workers live longer than that, and serve other operators as well."""
+        for kept in (self.word_ids, self.piece_ids, self.compatible):
+            kept.forget()
+
     def _plain_ids(self, text: str) -> bytes:
         return b"".join(map(self.piece_ids.__getitem__, self.pieces.findall(text)))
 
@@ -289,12 +298,17 @@ def encoded(text: Column, path: str) -> Column:
     """The ids of a text as binary: little-endian unsigned 32-bit integers."""
 
     @F.arrow_udf("binary")
-    def encode(texts: pa.Array) -> pa.Array:
-        known, ids = encoder(path), []
-        for some in together(texts, TOGETHER):
-            known.learn(some)
-            ids += map(known.encode, some)
-        return pa.array(ids, pa.binary())
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = encoder(path)
+        try:
+            for texts in batches:
+                ids = []
+                for some in together(texts, TOGETHER):
+                    known.learn(some)
+                    ids += map(known.encode, some)
+                yield pa.array(ids, pa.binary())
+        finally:
+            known.forget()
 
     return encode(text)
 

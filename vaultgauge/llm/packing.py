@@ -43,6 +43,9 @@ class FastEncoder(Encoder):
         self.odd_spaces = re.compile(ODD_SPACES)
         self.word_ids = Kept(lambda word: self._plain_ids(" " + word), KEPT_WORDS)
 
+    def forget(self) -> None:
+        self.word_ids.forget()
+
     def _plain_ids(self, text: str) -> bytes:
         return np.array(self.encode_ordinary(text), "<u4").tobytes()
 
@@ -157,7 +160,7 @@ def packed(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -
     end = np.array([end_id], "<u4").tobytes()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = encoder(path).encode, Packer(size)
+        known, packer = encoder(path), Packer(size)
         base = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
 
@@ -178,7 +181,8 @@ def packed(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -
                 nonlocal arrow_type
                 arrow_type = b.schema.field(0).type
                 for doc, text in zip(b.column(0), b.column(1), strict=True):  # one by one: a batch of texts isn't held twice
-                    yield from packer.add(doc.as_py(), encode(text.as_py()) + end)
+                    yield from packer.add(doc.as_py(), known.encode(text.as_py()) + end)
+            known.forget()
             yield from packer.close()
 
         for row in results():

@@ -215,7 +215,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID,
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
+        known, end = encoder(path), np.array([end_id], "<u4").tobytes()
         stretch, start = 0, 0
         parts, docs_in, size = [], [], 0
 
@@ -240,11 +240,12 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID,
                     if parts:
                         yield shard()
                     stretch, start = of, 0
-                parts.append(encode(text.as_py()) + end)
+                parts.append(known.encode(text.as_py()) + end)
                 docs_in.append(doc.as_py())
                 size += len(parts[-1]) // 4
                 if size >= shard_ids:
                     yield shard()
+        known.forget()
         if parts:
             yield shard()
 
