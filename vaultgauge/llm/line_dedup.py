@@ -15,13 +15,17 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultgauge.llm.shared import shared_folder, text_of, written
 
 #: Words from which a repeated run counts.
 MIN_WORDS = 50
+# Fixed value: what counts as white space around a line.
+BLANKS = " \t\n\x0b\f\r"
 
 DOC = ["doc_id", "text_hash"]
 
@@ -81,7 +85,8 @@ def _shortest_runs(first: DataFrame, min_words: int) -> DataFrame:
     upto = F.sum("words").over(stretch.rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("words"))
     whole = Window.partitionBy(*DOC, "stretch").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    by_before = Window.partitionBy(*DOC, "stretch").orderBy("before").rangeBetween(min_words, Window.unboundedFollowing)
+    # From the last line back: a frame that grows is kept up, one that shrinks would be built anew for each line.
+    by_before = Window.partitionBy(*DOC, "stretch").orderBy(F.col("before").desc()).rangeBetween(Window.unboundedPreceding, -min_words)
     by_upto = Window.partitionBy(*DOC, "stretch").orderBy("upto").rangeBetween(Window.unboundedPreceding, -min_words)
     rows = rows.withColumns(
         {
@@ -132,15 +137,27 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = docs.select("doc_id", text_of().alias("text"), F.xxhash64(text_of()).alias("text_hash"))
     deleted = deleted.withColumnsRenamed({"doc_id": "d_id", "text_hash": "d_hash"})
     rows = rows.join(deleted, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("text_hash") == F.col("d_hash")), "left")
-    rows = rows.withColumn("deleted", F.coalesce("deleted", F.array().cast("array<int>"))).withColumn("lines", F.split("text", "\n"))
-    with_words = lambda s: F.regexp_replace(s, r"^\s+|\s+$", "") != ""
-    rows = rows.withColumn("places", F.filter(F.transform("lines", lambda s, i: F.when(with_words(s), i)), lambda i: i.isNotNull()))
-    gone = F.transform("deleted", lambda k: F.get(F.col("places"), k))
-    rows = rows.withColumn("gone", gone)
-    kept = F.filter("lines", lambda s, i: ~F.array_contains("gone", i))
-    return rows.select(
+    left = _without("text", "deleted")
+    return rows.select("doc_id", "text", "deleted", left.alias("left")).select(
         "doc_id",
-        F.size("places").alias("n_lines"),
-        F.size("deleted").alias("n_deleted"),
-        F.when(F.size("deleted") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        F.col("left.n_lines").alias("n_lines"),
+        F.coalesce(F.size("deleted"), F.lit(0)).alias("n_deleted"),
+        F.coalesce("left.text", "text").alias("text"),
     )
+
+
+@F.arrow_udf(T.StructType([T.StructField("n_lines", T.IntegerType()), T.StructField("text", T.StringType())]))
+def _without(texts: pa.Array, deleted: pa.Array) -> pa.Array:
+    """The number of a text's lines with words, and the text without those whose numbers are given; null: as it is."""
+    counts, left = [], []
+    for text, numbers in zip(texts, deleted, strict=True):
+        lines = text.as_py().split("\n")
+        with_words = [i for i, line in enumerate(lines) if line.strip(BLANKS)]
+        counts.append(len(with_words))
+        numbers = numbers.as_py()
+        if numbers:
+            gone = {with_words[n] for n in numbers}
+            left.append("\n".join(line for i, line in enumerate(lines) if i not in gone))
+        else:
+            left.append(None)
+    return pa.StructArray.from_arrays([pa.array(counts, pa.int32()), pa.array(left, pa.string())], ["n_lines", "text"])
