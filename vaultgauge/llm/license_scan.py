@@ -1,9 +1,10 @@
 """License scan by conditional compression.
 
-A whole text's words, over all line breaks, are searched for places that hold enough of a license template's words, in any order:
-a bound that no confirmed wording can miss. There the words are aligned with the template's, and a license counts as found if the
-wordings differ by few words, which are reported. Each wording found is compressed alone and with the template as a raw zstandard
-dictionary; the bytes saved, against those that the template saves on its own text, rank the templates of a place.
+Candidate blocks are the stretches of a whole text's words, over all line breaks, that hold enough of a license template's words, in any
+order: a bound that no confirmed wording can miss. Each block is compressed alone and with every candidate template as a raw zstandard
+dictionary, and the bytes saved, against those that a template saves on its own text, rank the templates. The winner of a block
+and those that come near it are confirmed: their words are aligned with the block's, and a license counts as found if the
+wordings differ by few words, which are reported. Of two wordings for the same words the one with the larger size reduction counts.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import functools
 import math
 import re
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -78,6 +80,11 @@ WORDINGS = (
 REDUCTION = 0.25
 #: Words of the template that may be missing or different, as a share.
 DIFFERENT = 0.25
+#: A template is confirmed in a block only if it saves this share of its own bytes there, and of the share that the winner saves. A
+#: block may hold several notices, and words around a wording cost some of its savings.
+BLOCK_REDUCTION, NEAR_WINNER = 0.1, 0.1
+#: Words of a piece that is compressed.
+PIECE_WORDS = 4000
 
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
@@ -103,7 +110,7 @@ class Span(NamedTuple):
     added: tuple[str, ...]
 
     def rank(self) -> tuple:
-        return len(self.missing) + len(self.added), -self.reduction
+        return -self.reduction, len(self.missing) + len(self.added)
 
 
 def _further(row: np.ndarray, same: np.ndarray) -> np.ndarray:
@@ -114,6 +121,19 @@ def _further(row: np.ndarray, same: np.ndarray) -> np.ndarray:
     return np.minimum.accumulate(new - steps) + steps
 
 
+def _blocks(regions: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """Regions (start, end, template) in order, those that overlap together."""
+    block, end = [], 0
+    for region in regions:
+        if block and region[0] >= end:
+            yield block
+            block = []
+        block.append(region)
+        end = max(end, region[1]) if len(block) > 1 else region[1]
+    if block:
+        yield block
+
+
 class Scanner:
     """Templates with their compressors. One per Python worker."""
 
@@ -133,29 +153,51 @@ class Scanner:
             saved = len(self.plain.compress(content)) - len(compressor.compress(content))
             self.given.append(Template(name, words, ids, min(math.floor(different * len(words)), len(words) - 1), compressor, saved))
         self.least = np.array([len(t.words) - t.allowed for t in self.given])
+        self.longest = max(len(t.words) + t.allowed for t in self.given)
 
     def spans(self, words: list[str]) -> list[Span]:
         """The wordings of all licenses in their order, without those all of whose words belong to another one."""
         ids = np.fromiter((self.place.get(w, 0) for w in words), np.int32, len(words))
+        hits = self.holds[ids]
+        regions = [
+            (low, high, t) for t in np.flatnonzero(hits.sum(0) >= self.least).tolist() for low, high in self._regions(hits[:, t], self.given[t])
+        ]
         found = []
-        for t in np.flatnonzero(self.holds[ids].sum(0) >= self.least).tolist():
-            for low, high in self._regions(self.holds[ids, t], self.given[t]):
+        for block in _blocks(sorted(regions)):
+            for low, high, t in self._ranked(words, block):
                 found += self._wordings(words, ids, low, high, self.given[t])
         found.sort(key=lambda f: (f.start, -f.end))
         kept: list[Span] = []
+        near: list[Span] = []  # of those kept, the ones that reach beyond the start of the next
         for i, f in enumerate(found):
-            before = [g for g in kept if g.end > f.start]
+            near = [g for g in near if g.end > f.start]
             after = []
-            for g in found[i + 1 :]:
+            for g in islice(found, i + 1, None):
                 if g.start >= f.end:
                     break
                 after.append(g)
-            if not any(f.same < g.same or f.same == g.same and g.rank() <= f.rank() for g in before) and not any(
+            if not any(f.same < g.same or f.same == g.same and g.rank() <= f.rank() for g in near) and not any(
                 f.same < g.same or f.same == g.same and g.rank() < f.rank() for g in after
             ):
                 kept.append(f)
+                near.append(f)
         return kept
 
+    def _ranked(self, words: list[str], block: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """The regions of a block's templates by the bytes that these save on the block, without those far behind the winner."""
+        low, high = min(r[0] for r in block), max(r[1] for r in block)
+        savings = dict.fromkeys((r[2] for r in block), 0.0)
+        # Long blocks in overlapping pieces, as a dictionary is forgotten after a while.
+        for start in range(low, high, PIECE_WORDS):
+            content = " ".join(words[start : min(high, start + PIECE_WORDS + self.longest)]).encode()
+            alone = len(self.plain.compress(content))
+            for t in savings:
+                template = self.given[t]  # one that is too short to save any on its own text: the words decide
+                saved = (alone - len(template.compressor.compress(content))) / template.saved if template.saved > 0 else 1.0
+                savings[t] = max(savings[t], saved)
+        bar = max(BLOCK_REDUCTION, NEAR_WINNER * max(savings.values()))
+        return sorted((r for r in block if savings[r[2]] >= bar), key=lambda r: (-savings[r[2]], r))
+
     def _regions(self, hits: np.ndarray, template: Template) -> Iterator[tuple[int, int]]:
         """Ranges of words outside of which no wording can lie: too few of the template's words in each range of its length."""
         length = len(template.words) + template.allowed
