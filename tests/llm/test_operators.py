@@ -70,6 +70,22 @@ def test_line_dedup(spark):
         assert (out[doc].n_lines, out[doc].n_deleted) == (len(places), len(cut))
 
 
+def test_line_dedup_of_many_lines(spark):
+    """Linear in the lines of a document: two texts of 50,000 lines with words, and blank ones in between."""
+    import time
+
+    lines = [f"line {i % 40_000} of a long text" for i in range(50_000)]
+    docs = spark.createDataFrame([(1, "\n \n".join(lines)), (2, "\n".join(lines)), (3, "\n".join(["the same line"] * 50_000))], "doc_id int, text string")
+    began = time.monotonic()
+    found = {r.doc_id: r for r in line_dedup.line_dedup(docs).collect()}
+    assert time.monotonic() - began < 120
+    # The last ten thousand lines of the first text are its first ones again.
+    assert (found[1].n_lines, found[1].n_deleted) == (50_000, 10_000) and found[1].text.split("\n")[::2][:40_000] == lines[:40_000]
+    assert (found[2].n_lines, found[2].n_deleted, found[2].text) == (50_000, 50_000, "")
+    # Runs of 17 equal lines have 51 words; those that overlap the first one stay.
+    assert found[3].n_lines == 50_000 and found[3].n_deleted == 50_000 - 17
+
+
 # ---- 2 and 8 ----
 
 def held_out_scores(spark, name, label):
@@ -173,6 +189,46 @@ def test_license_scan_savings_drop_no_wording_that_may_differ():
                 assert [f["license"] for f in scan(" ".join(changed))] == [name], changed
 
 
+def test_license_scan_size_reduction_decides_between_templates():
+    """Both wordings differ from the text by one word; the one whose other words save more bytes counts."""
+    long = "redistribution acknowledgements notwithstanding"
+    templates = (("short", "by a of to in it notwithstanding acknowledgements xx"), ("long", f"by a of to in it {long}"))
+    scan = license_scan.Scanner(templates, license_scan.REDUCTION, 0.5).scan
+    for order in (templates, templates[::-1]):
+        scan = license_scan.Scanner(order, license_scan.REDUCTION, 0.5).scan
+        (found,) = scan(f"first by a of to in it {long} last")
+        assert found["license"] == "long"
+    same = (("plain", "the work of all is given as it stands here"), ("exact", "the work of all is given as it stands now"))
+    for order in (same, same[::-1]):
+        (found,) = license_scan.Scanner(order, license_scan.REDUCTION, license_scan.DIFFERENT).scan("the work of all is given as it stands now")
+        assert (found["license"], found["missing"]) == ("exact", [])
+
+
+def test_license_scan_needs_compression():
+    """Templates that save nothing on a block are not confirmed there, however their words fit."""
+    scanner = license_scan.Scanner(tuple(license_scan.TEMPLATES.items()), license_scan.REDUCTION, license_scan.DIFFERENT)
+    text = "first words. " + " ".join(license_scan.TEMPLATES.values())
+    assert len(scanner.scan(text)) == 4
+    scanner.given = [t._replace(compressor=scanner.plain) for t in scanner.given]
+    assert scanner.scan(text) == []
+
+
+def test_license_scan_is_linear_in_the_notices_of_a_text():
+    import time
+
+    scan = license_scan.Scanner(license_scan.WORDINGS, license_scan.REDUCTION, license_scan.DIFFERENT).scan
+    took = []
+    for n in (2_000, 20_000):
+        text = " ".join(f"{w} word{i}" for i in range(n // 4) for w in license_scan.TEMPLATES.values())
+        began = time.process_time()
+        assert len(scan(text)) == n
+        took.append(time.process_time() - began)
+    assert took[1] < 25 * took[0]
+    # A notice at the end of a long stretch of license words.
+    text = "license version public the under " * 30_000 + license_scan.TEMPLATES["MIT"]
+    assert [f["license"] for f in scan(text) if not f["missing"] and not f["added"]][-1] == "MIT"
+
+
 # ---- 4 ----
 
 def test_exact_groups_with_collisions(spark):
