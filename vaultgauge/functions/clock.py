@@ -27,6 +27,12 @@ class LoadTime(NamedTuple):
     def is_usable(self) -> bool:
         return isinstance(self.dtype, TEXT + TIME)
 
+    def extreme(self, function: str) -> str:
+        """The first or last load time (min, max) as an aggregate. Dates are cast afterwards, so that it can be pushed down."""
+        if isinstance(self.dtype, T.DateType):
+            return f"CAST({function}({self.raw}) AS TIMESTAMP)"
+        return f"{function}({self.value})"
+
     def within(self, low: str, high: str | None = None) -> str | None:
         """A condition on the stored column that a scan can push down, from one date to another. It keeps a day more
         on either side, so it never decides what is counted. Text has no such condition."""

@@ -18,6 +18,8 @@ from vaultgauge.operators.target import Target
 from vaultgauge.settings import Settings
 
 SOURCE_SLOTS = {"R1", "R2"}
+# Row counts, newest and oldest load time: what the footers of files may answer.
+FOOTER_SLOTS = {"T4", "F1", "F3", "rows"}
 CLOCK_SLOTS = {"T2", "F1", "F2", "F3", "V1", "V2", "V3"}
 # Sizes that choose the plan of the key checks; they are no checks themselves.
 ROWS = "rows"
@@ -136,9 +138,9 @@ def _measures(
         if wanted & {"T2", "F2"}:
             measures["future"] = _rows_where(f"{load.value} > {settings.now}")
         if "F1" in wanted:
-            measures["latest"] = f"max({load.value})"
+            measures["latest"] = load.extreme("max")
         if "F3" in wanted:
-            measures["oldest"] = f"min({load.value})"
+            measures["oldest"] = load.extreme("min")
         days = {0} if wanted & {"V1", "V2", "V3"} else set()
         if "V1" in wanted:
             days.add(1)

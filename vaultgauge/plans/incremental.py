@@ -16,6 +16,7 @@ from vaultgauge.functions.storage import data_files, exists, folders, remove
 from vaultgauge.operators.partials import FILE, can_keep, measures, partials
 from vaultgauge.operators.target import Target
 from vaultgauge.settings import Settings
+from vaultgauge.sources.footers import is_plain_scan
 from vaultgauge.sources.vault import Vault
 
 LOG = logging.getLogger(__name__)
@@ -97,11 +98,3 @@ def _definition(spark: SparkSession, df: DataFrame, target: Target) -> str:
     """What is kept, as a digest: with other columns, types, rules or another time zone all files are read anew."""
     what = [measures(df, target), target.load_dts, target.record_source, df.schema.json(), spark.conf.get("spark.sql.session.timeZone")]
     return hashlib.sha256(json.dumps(what).encode()).hexdigest()[:16]
-
-
-def is_plain_scan(df: DataFrame) -> bool:
-    """Whether a DataFrame is nothing but the rows of files: those of a query may change while its files don't."""
-    node = df._jdf.queryExecution().analyzed()
-    while node.nodeName() == "SubqueryAlias":
-        node = node.children().apply(0)
-    return node.nodeName() == "LogicalRelation" and bool(df.inputFiles())

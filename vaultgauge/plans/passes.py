@@ -14,12 +14,13 @@ from vaultgauge.functions.clock import column_type
 from vaultgauge.functions.storage import can_store
 from vaultgauge.operators.grain import can_hash_first, duplicate_groups, duplicate_groups_hash_first, duplicate_groups_of
 from vaultgauge.operators.orphans import Child, orphan_rows, shared_key_figures
-from vaultgauge.operators.profile import profile, profile_slots
+from vaultgauge.operators.profile import CLOCK_SLOTS, FOOTER_SLOTS, profile, profile_slots
 from vaultgauge.operators.target import Target
 from vaultgauge.plans import catalog as catalog_plan
 from vaultgauge.plans.specs import check_specs
 from vaultgauge.rules import CHECKS
 from vaultgauge.settings import Settings
+from vaultgauge.sources.footers import IN_FOOTERS, by_footers
 from vaultgauge.sources.vault import Vault
 
 
@@ -99,8 +100,15 @@ def _long_form(df: DataFrame, target: Target, slot: Column) -> DataFrame:
     )
 
 
-def profile_frame(vault: Vault, target: Target, slots: Iterable[str], settings: Settings) -> DataFrame:
-    return profile(vault.table(target.source_name), target, slots, settings)
+def profile_frame(vault: Vault, target: Target, slots: Iterable[str], settings: Settings, from_footers: bool = False) -> DataFrame:
+    df = vault.table(target.source_name)
+    if from_footers and set(slots) <= FOOTER_SLOTS and _load_time_in_footers(df, target, slots):
+        df = by_footers(df) or df
+    return profile(df, target, slots, settings)
+
+
+def _load_time_in_footers(df: DataFrame, target: Target, slots: Iterable[str]) -> bool:
+    return not CLOCK_SLOTS.intersection(slots) or isinstance(column_type(df, target.load_dts), IN_FOOTERS)
 
 
 def grain_rounds(target: Target, slots: Sequence[str], settings: Settings) -> list[list[str]]:

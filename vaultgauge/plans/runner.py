@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from vaultgauge.operators.orphans import fits_broadcast
 from vaultgauge.operators.partials import profile_of_partials
-from vaultgauge.operators.profile import KEY_BYTES, ROWS, SOURCE_SLOTS, profile_slots
+from vaultgauge.operators.profile import FOOTER_SLOTS, KEY_BYTES, ROWS, SOURCE_SLOTS, profile_slots
 from vaultgauge.operators.target import Target
 from vaultgauge.plans import summary
 from vaultgauge.plans.catalog import diagnostics
@@ -135,13 +135,18 @@ def _profile_passes(vault: Vault, plan: Plan, settings: Settings) -> list[Pass]:
 
 
 def _profile_pass(vault: Vault, target: Target, slots: list[str], sizes: list[str], settings: Settings, kept: KeptPartials) -> Pass:
+    """Checks of a table's own rows: from partial results, from footers where they suffice, or from the rows."""
+
     def frame(wanted: Sequence[Slot]) -> DataFrame:
         asked = [s for _, s in wanted]
         if (groups := kept.of(target)) is not None:
             return profile_of_partials(vault.table(target.source_name), groups, target, asked, settings)
-        return profile_frame(vault, target, asked, settings)
+        return profile_frame(vault, target, asked, settings, from_footers=set(slots) <= FOOTER_SLOTS)
+
+    def of_rows(wanted: Sequence[Slot]) -> DataFrame:
+        return profile_frame(vault, target, [s for _, s in wanted], settings)
 
-    return Pass([(target.name, s) for s in slots + sizes], frame)
+    return Pass([(target.name, s) for s in slots + sizes], frame, of_rows if set(slots) <= FOOTER_SLOTS else None)
 
 
 def _key_passes(vault: Vault, plan: Plan, settings: Settings, outcomes: dict[Slot, Outcome]) -> list[Pass]:

@@ -11,19 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from vaultgauge.functions.sqltext import quoted
+from vaultgauge.sources.sessions import session_with
 
 # Seconds between attempts to list the columns of a table.
 LISTING_PAUSES = (0.2, 1.0)
-
-
-def _session_without_buckets(spark: SparkSession) -> SparkSession:
-    """A session of the same application and with the same settings, but for bucketed scans."""
-    session = spark.newSession()
-    for name, value in spark.conf.getAll.items():
-        if name.startswith("spark.sql.") and session.conf.isModifiable(name):
-            session.conf.set(name, value)
-    session.conf.set("spark.sql.sources.bucketing.enabled", "false")
-    return session
+WITHOUT_BUCKETS = {"spark.sql.sources.bucketing.enabled": "false"}
 
 
 class Vault:
@@ -66,7 +58,7 @@ class Vault:
             lambda name: [c.name for c in spark.catalog.listColumns(full_name(name))],
             qualifier=parts,
             is_bucketed=lambda name: any(c.isBucket for c in spark.catalog.listColumns(full_name(name))),
-            unbucketed=lambda: cls.from_database(_session_without_buckets(spark), parts),
+            unbucketed=lambda: cls.from_database(session_with(spark, WITHOUT_BUCKETS), parts),
         )
 
     @classmethod
