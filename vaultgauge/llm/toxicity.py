@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultgauge.llm.shared import hashed_share, held_out, text_of
+from vaultgauge.llm.shared import hashed_share, held_out, shared_folder, text_of, written
 
 WINDOW_WORDS = 8
 #: Labelled documents of each class from which the model learns, at most (about: a share of the ids by hash).
@@ -138,6 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SA
     sample, counts = _sample(docs, labels, label, size)
     if len(counts) < 2:
         return None
+    sample = written(sample, f"{shared_folder(docs.sparkSession, 'toxicity')}/sample")  # read several times, and the texts of all only once
 
     @F.arrow_udf(T.ArrayType(T.BinaryType()))
     def cut(texts: pa.Array) -> pa.Array:
