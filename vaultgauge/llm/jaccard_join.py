@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from vaultgauge.llm.bpe import Kept
 from vaultgauge.llm.components import components
-from vaultgauge.llm.shared import shared_folder, text_of, written
+from vaultgauge.llm.shared import give_back, giving_back, shared_folder, text_of, written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -104,6 +104,8 @@ def class_digest(text: Column) -> Column:
         hashes = word_hashes()
         for texts in batches:
             yield pa.array([digest_of(shingles(t.as_py(), hashes)) for t in texts], pa.binary())
+        hashes.forget()
+        give_back()
 
     return digest(text)
 
@@ -125,7 +127,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
                 ["doc_id", "digest", "size", "signature"],
             )
 
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(sign, f"doc_id {id_type}, digest binary, size bigint, signature binary")
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(giving_back(sign), f"doc_id {id_type}, digest binary, size bigint, signature binary")
 
 
 def survival(depth: int) -> float:
@@ -157,7 +159,7 @@ def _children(rows: DataFrame, threshold: float) -> DataFrame:
                 child = _mix(path[row, chosen] + values[row, chosen].astype(_U64) * _STEP)
             yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), b.column(1).take(pa.array(row))], ["node", "digest"])
 
-    return rows.select("node", "digest", "signature").mapInArrow(split, "node bigint, digest binary")
+    return rows.select("node", "digest", "signature").mapInArrow(giving_back(split), "node bigint, digest binary")
 
 
 def _leaves(classes: DataFrame, runs: range, folder: str, threshold: float, bucket: int, max_depth: int) -> DataFrame:
@@ -240,7 +242,7 @@ def _candidates(leaves: DataFrame, classes: DataFrame, threshold: float, bucket:
 
     rows = rows.select("piece", "leaf", "within", "block", "digest", "size", "signature", "reached")
     rows = rows.repartition("piece").sortWithinPartitions("piece", "digest")
-    return rows.mapInArrow(compare, "piece bigint, place int, digest binary, partners array<int>")
+    return rows.mapInArrow(giving_back(compare), "piece bigint, place int, digest binary, partners array<int>")
 
 
 def _overlaps(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
@@ -306,7 +308,7 @@ def _links(pieces: DataFrame, threshold: float) -> DataFrame:
                 ["digest", "links", "root"],
             )
 
-    return pieces.mapInArrow(verify, "digest binary, links bigint, root binary")
+    return pieces.mapInArrow(giving_back(verify), "digest binary, links bigint, root binary")
 
 
 def _pairs(pieces: DataFrame, threshold: float) -> DataFrame:
@@ -316,7 +318,7 @@ def _pairs(pieces: DataFrame, threshold: float) -> DataFrame:
             if len(pairs):
                 yield pa.RecordBatch.from_arrays([pa.array([digests[k] for k in pairs[:, c]], pa.binary()) for c in (0, 1)], ["a", "b"])
 
-    return pieces.mapInArrow(verify, "a binary, b binary")
+    return pieces.mapInArrow(giving_back(verify), "a binary, b binary")
 
 
 class Join:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultgauge.llm.bpe import KEPT_WORDS, ODD_SPACES, PIECES, Encoder, Kept, Vocabulary
-from vaultgauge.llm.shared import text_of
+from vaultgauge.llm.shared import giving_back, text_of
 
 SIZE = 2048
 #: Closes each document.
@@ -195,7 +195,7 @@ def packed(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -
             yield batch()
 
     schema = f"doc_id {name}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(pack, schema)
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(giving_back(pack), schema)
 
 
 def pieces_report(pieces: DataFrame) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +51,26 @@ def held_out(column: str = "doc_id") -> Column:
 def hashed_share(column: str, share: float) -> Column:
     """True for about this share of the values, the same ones each time; for all of them from 1 on."""
     return F.pmod(F.xxhash64(column), F.lit(1_000_000)) < int(1_000_000 * min(1.0, share))
+
+
+def give_back() -> None:
+    """Returns to the system what a finished task has freed. Workers wait for further tasks, beside those of other stages and the
+    JVM, and would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def giving_back(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a task that gives memory back at its end."""
+
+    @functools.wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run
