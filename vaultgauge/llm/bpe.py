@@ -23,18 +23,18 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultgauge.llm.shared import text_of
+from vaultgauge.llm.shared import give_back, text_of
 
 #: How byte-level vocabularies split a text.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space on both sides of a space, or before one that ends the text: there a space need not begin a piece.
 ODD_SPACES = r"\s (?:\s|\Z)"
 #: Words whose ids a task keeps; beyond, the older half goes. Bounds memory only.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 #: Pairs of tokens whose compatibility it keeps.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 400_000
 #: Characters of texts whose new pieces are encoded together.
-TOGETHER = 8 << 20
+TOGETHER = 3 << 20
 
 
 def byte_names() -> dict[str, int]:
@@ -309,6 +309,7 @@ def encoded(text: Column, path: str) -> Column:
                 yield pa.array(ids, pa.binary())
         finally:
             known.forget()
+            give_back()
 
     return encode(text)
 

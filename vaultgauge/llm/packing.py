@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultgauge.llm.bpe import KEPT_WORDS, ODD_SPACES, PIECES, Encoder, Kept, Vocabulary
+from vaultgauge.llm.bpe import ODD_SPACES, PIECES, Encoder, Kept, Vocabulary
 from vaultgauge.llm.shared import giving_back, text_of
 
 SIZE = 2048
@@ -29,6 +29,8 @@ END_ID = 1
 #: Bytes of ids in partially filled windows that a task holds; beyond, they are filled up as at the end, so placement starts anew
 #: there. Bounds memory: a task packs some 16,000 half-filled windows of the default size together.
 OPEN_BYTES = 64 << 20
+#: Words whose ids a task keeps. Bounds memory only.
+KEPT_WORDS = 400_000
 #: Bytes of ids in a batch of results.
 BATCH_BYTES = 4 << 20
 
