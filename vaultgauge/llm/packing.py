@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +50,8 @@ class FastEncoder(Encoder):
         self.word_ids.forget()
 
     def _plain_ids(self, text: str) -> bytes:
-        return np.array(self.encode_ordinary(text), "<u4").tobytes()
+        ids = self.encode_ordinary(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @functools.lru_cache(maxsize=1)
