@@ -97,7 +97,7 @@ def test_pipeline_on_odd_tables(spark, tmp_path):
     kept = read
     for name, stage in corpus_pipeline.STAGES[:-1]:
         before, kept = kept, stage(spark, kept, f"{tmp_path}/full")
-        assert kept.columns == read.columns and kept.exceptAll(before).count() == 0, name
+        assert kept.columns == read.columns and not Counter(kept.collect()) - Counter(before.collect()), name
     pieces = corpus_pipeline.run(spark, f"{tmp_path}/full")
     assert pieces.agg(F.sum("length")).first()[0] >= kept.count()
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
