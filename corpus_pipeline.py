@@ -1,7 +1,8 @@
 """The corpus pipeline: from raw documents to packed training sequences.
 
 Each stage takes what its predecessor kept and returns the rows that it keeps, with all columns; the last one returns the
-pieces of the sequences. Null texts count as empty, and an empty table goes through every stage.
+pieces of the sequences. Null texts count as empty, and an empty table goes through every stage. Stages that run Python exchange
+small batches with it, so executors that go through all stages in a row have memory left for both sides.
 """
 
 from __future__ import annotations
@@ -13,17 +14,19 @@ from vaultgauge.llm.exact_dedup import exact_dedup
 from vaultgauge.llm.jaccard_join import one_of_each_group
 from vaultgauge.llm.packing import packed, pieces_report
 from vaultgauge.llm.quality import good_documents
-from vaultgauge.llm.shared import shared_folder, table, written
+from vaultgauge.llm.shared import shared_folder, small_batches, table, written
 from vaultgauge.llm.toxicity import clean_documents
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    small_batches(spark)
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier accepts."""
+    small_batches(spark)
     return clean_documents(docs, table(spark, sf_dir, "labels"))
 
 
@@ -34,11 +37,13 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates (Jaccard similarity of five-word shingles from 0.8 on, over any number of links) the smallest doc_id stays."""
+    small_batches(spark)
     return one_of_each_group(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the training sequences: where each lies, and a checksum of its ids."""
+    small_batches(spark)
     return pieces_report(packed(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 

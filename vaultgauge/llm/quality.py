@@ -8,6 +8,7 @@ difference of the Gaussian log-densities (Mahalanobis distances by the cached Ch
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import pairwise
 
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultgauge.llm.shared import hashed_share, held_out, shared_folder, text_of, written
+from vaultgauge.llm.shared import give_back, hashed_share, held_out, shared_folder, text_of, written
 
 STATISTICS = (
     "words", "word_length", "word_spread", "variety", "pair_variety", "commonest", "upper", "symbols", "marked_words",
@@ -67,8 +68,12 @@ def statistics(text: str) -> list[float]:
 
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
-def _statistics(texts: pa.Array) -> pa.Array:
-    return pa.array([statistics(t.as_py()) for t in texts], pa.list_(pa.float64()))
+def _statistics(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    try:
+        for texts in batches:
+            yield pa.array([statistics(t.as_py()) for t in texts], pa.list_(pa.float64()))
+    finally:
+        give_back()
 
 
 def with_statistics(docs: DataFrame, name: str = "statistics") -> DataFrame:

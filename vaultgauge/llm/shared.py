@@ -53,6 +53,17 @@ def hashed_share(column: str, share: float) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(1_000_000)) < int(1_000_000 * min(1.0, share))
 
 
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """From now on tasks exchange batches of about so many bytes with Python, where the session says nothing else (Spark: 64 MB).
+
+    A batch is held by the JVM, beside its heap, and by the worker at once, for each task of an executor. Frames are planned when
+    they are read, so the setting stays; it changes no result.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, size)
+
+
 def give_back() -> None:
     """Returns to the system what a finished task has freed. Workers wait for further tasks, beside those of other stages and the
     JVM, and would keep it."""

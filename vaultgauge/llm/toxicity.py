@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultgauge.llm.shared import hashed_share, held_out, shared_folder, text_of, written
+from vaultgauge.llm.shared import give_back, hashed_share, held_out, shared_folder, text_of, written
 
 WINDOW_WORDS = 8
 #: Labelled documents of each class from which the model learns, at most (about: a share of the ids by hash).
@@ -185,8 +186,12 @@ def score_column(model: Distance | None, text: Column) -> Column:
     """The probability that a text is toxic; 0 for each text without a model."""
 
     @F.arrow_udf(T.DoubleType())
-    def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(t.as_py()) for t in texts], pa.float64())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for texts in batches:
+                yield pa.array([model.score(t.as_py()) for t in texts], pa.float64())
+        finally:
+            give_back()
 
     return score(text) if model else F.lit(0.0)
 
