@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultgauge.llm.bpe import ODD_SPACES, PIECES, Encoder, Kept, Vocabulary
+from vaultgauge.llm.bpe import PIECES, Encoder, Vocabulary
 from vaultgauge.llm.shared import giving_back, text_of
 
 SIZE = 2048
@@ -30,27 +30,38 @@ END_ID = 1
 #: Bytes of ids in partially filled windows that a task holds; beyond, they are filled up as at the end, so placement starts anew
 #: there. Bounds memory: a task packs some 16,000 half-filled windows of the default size together.
 OPEN_BYTES = 64 << 20
-#: Words whose ids a task keeps. Bounds memory only.
-KEPT_WORDS = 400_000
+#: PIECES for texts that are cut before the last character of each run of white space.
+CUT_PIECES = PIECES.replace(r"\s+(?!\S)|", "")
+#: Runs of white space: what Unicode calls so, as the pattern above; Python's own class has four separators more.
+RUNS = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}"
 #: Bytes of ids in a batch of results.
 BATCH_BYTES = 4 << 20
 
 
 class FastEncoder(Encoder):
-    """The same ids as Encoder, by the tiktoken library: the method of this operator isn't encoding. It needs the tokens, no merges."""
+    """The same ids as Encoder, by the tiktoken library: the method of this operator isn't encoding. It needs the tokens, no merges.
+
+    Of white space in a row, the last character goes with what follows. The library finds that by looking ahead, at every place of
+    a text; here texts are cut before that character instead, so the rest of the pattern needs no look ahead and is matched several
+    times as fast. Nothing is kept from one text to the next.
+    """
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path, with_merges=False)
-        ranks = tiktoken.Encoding("bpe", pat_str=PIECES, mergeable_ranks=self.vocabulary.ids, special_tokens={})
+        ranks = tiktoken.Encoding("bpe", pat_str=CUT_PIECES, mergeable_ranks=self.vocabulary.ids, special_tokens={})
         self.encode_ordinary = ranks.encode_ordinary
-        self.odd_spaces = re.compile(ODD_SPACES)
-        self.word_ids = Kept(lambda word: self._plain_ids(" " + word), KEPT_WORDS)
+        self.runs = re.compile(RUNS)
 
     def forget(self) -> None:
-        self.word_ids.forget()
-
-    def _plain_ids(self, text: str) -> bytes:
-        ids = self.encode_ordinary(text)
+        """Nothing is kept."""
+
+    def _text_ids(self, text: str) -> bytes:
+        ids, start = [], 0
+        for run in self.runs.finditer(text):
+            if run.end() < len(text):
+                ids += self.encode_ordinary(text[start : run.end() - 1])
+                start = run.end() - 1
+        ids += self.encode_ordinary(text[start:] if start else text)
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
