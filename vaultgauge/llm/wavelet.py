@@ -205,7 +205,8 @@ def stretches(docs: DataFrame, count: int) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Encodes the texts of docs, in ascending order of doc_id, into files below folder; returns the table of shards.
 
-    The ids are those of the tokenizers library with the vocabulary at path, found by a faster encoder of the same vocabulary.
+    The ids are those of the tokenizers library with the vocabulary at path, found by the encoder of packing, which keeps nothing
+    between texts: a task's memory is its shard.
 
     One row and one file per shard, see SHARDS. Null text is empty; each document's ids are followed by end_id. Rows that
     repeat are written as often, next to each other; rows without an id come first. A document lies in one shard whole,
