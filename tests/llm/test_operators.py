@@ -121,6 +121,24 @@ def test_toxicity_learns_phrases_of_ordinary_words(spark):
     assert ((above > 0) + 0.5 * (above == 0)).mean() >= 0.9
 
 
+def test_toxicity_finds_single_short_words_at_every_place(spark):
+    rng = random.Random(6)
+    parts = ["ta", "ren", "mo", "lis", "du", "ka", "vor", "pe", "sin", "go"]
+    word = lambda: "".join(rng.choices(parts, k=rng.randint(1, 3)))
+
+    def text(i):
+        w = [word() for _ in range(96)]
+        if i % 8 == 0:
+            place = i // 8 % 8  # within a window of eight words
+            w[place], w[place + 48] = rng.sample(["skumb", "klod", "fuzzi", "jerkh"], 2)
+        return " ".join(w)
+
+    df = spark.createDataFrame([(i, text(i), int(i % 8 == 0)) for i in range(2400)], "doc_id bigint, text string, toxic int")
+    scores = toxicity.toxicity_scores(df.drop("toxic"), df.drop("text")).where("held_out").collect()
+    assert np.mean([r.score >= toxicity.THRESHOLD for r in scores if r.doc_id % 8 == 0]) >= 0.9
+    assert np.mean([r.score < toxicity.THRESHOLD for r in scores if r.doc_id % 8]) >= 0.98
+
+
 # ---- 3 ----
 
 def test_license_scan(spark, texts):
