@@ -325,6 +325,22 @@ def test_bpe_equals_the_library(spark, texts, tokenizer):
     assert row.decoded_sha256 == hashlib.sha256(texts[5].encode()).hexdigest() and row.n_tokens == len(tokenizer.encode(texts[5], add_special_tokens=False).ids)
 
 
+def test_bpe_cuts_plain_words_without_the_pattern(tokenizer):
+    class Seen(list):
+        def findall(self, text):
+            self.append(text)
+            return cut(text)
+
+    r = random.Random(9)
+    texts = [" ".join("".join(r.choices("aeiouThstrénßŁ.',1漢", k=r.randint(1, 12))) for _ in range(300)) for _ in range(5)]
+    known = bpe.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    cut, known.pieces = known.pieces.findall, Seen()
+    known.learn(texts)
+    assert known.pieces and not any(t[1:].isalpha() and "漢" not in t for t in known.pieces)
+    for text in texts:
+        assert np.frombuffer(known.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 # ---- 7 ----
 
 def test_url_rules(spark):

@@ -27,12 +27,16 @@ from vaultgauge.llm.shared import give_back, text_of
 
 #: How byte-level vocabularies split a text.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Words that are one piece with the space before them: Latin letters, on which all versions of Unicode agree.
+LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
 #: White space on both sides of a space, or before one that ends the text: there a space need not begin a piece.
 ODD_SPACES = r"\s (?:\s|\Z)"
 #: Words whose ids a task keeps; beyond, the older half goes. Bounds memory only.
 KEPT_WORDS = 300_000
 #: Pairs of tokens whose compatibility it keeps.
 KEPT_PAIRS = 400_000
+#: States and bytes of which it keeps where the automaton goes on after a failure.
+KEPT_STEPS = 100_000
 #: Characters of texts whose new pieces are encoded together.
 TOGETHER = 3 << 20
 
@@ -149,12 +153,14 @@ class Encoder:
     def __init__(self, path: str):
         self.vocabulary = v = Vocabulary(path)
         self.pieces = regex.compile(PIECES)
+        self.letters = re.compile(LETTERS).fullmatch
         self.odd_spaces = re.compile(ODD_SPACES)
         self.right_edges = Kept(lambda t: self._edges(t, 1), 1 << 20)
         self.left_edges = Kept(lambda t: self._edges(t, 0), 1 << 20)
         # By the two ids in one number.
         self.compatible = Kept(lambda pair: self._first_merge(pair >> 32, pair & 0xFFFFFFFF) == math.inf, KEPT_PAIRS)
         self.suffixes = Suffixes({i: token for token, i in v.ids.items() if self._is_own_encoding(i)})
+        self.failing = Kept(lambda key: self.suffixes.after(key >> 8, key & 255), KEPT_STEPS)  # by state and byte in one number
         self.piece_ids = Kept(self._piece_ids, KEPT_WORDS)
         self.word_ids = Kept(lambda word: self._plain_ids(" " + word), KEPT_WORDS)
 
@@ -191,34 +197,37 @@ class Encoder:
     def _ids_of(self, pieces: Iterable[bytes]) -> Iterator[bytes]:
         """The ids of pieces by last tokens of their prefixes. What the prefixes that a piece shares with the one before have got
         is taken over, so pieces in order cost little."""
-        compatible, next_of, after = self.compatible, self.suffixes.step.get, self.suffixes.after
+        compatible, next_of, failing = self.compatible, self.suffixes.step.get, self.failing
         token_of, depth, shorter = self.suffixes.token, self.suffixes.depth, self.suffixes.shorter
-        states, last, starts, before = [], [], [], b""  # by last byte of the prefix: the state; its last token, and where that begins
+        states, last, starts, before = [0], [-1], [0], b""  # by length of the prefix: the state; its last token, and where that begins
         for piece in pieces:
-            end = shared = _shared_prefix(before, piece)
-            del states[shared:], last[shared:], starts[shared:]
-            state = states[-1] if shared else 0
-            for byte in piece[shared:]:
-                fits = next_of(state << 8 | byte)
-                if fits is None:
-                    fits = after(state, byte)
-                state = fits
+            end = _shared_prefix(before, piece)
+            if len(piece) >= len(last):
+                more = len(piece) + 1 - len(last)
+                states += [0] * more
+                last += [-1] * more
+                starts += [0] * more
+            state = states[end]
+            for byte in piece[end:]:
+                key = state << 8 | byte
+                state = next_of(key)
+                if state is None:
+                    state = failing[key]
                 end += 1
-                while True:  # the longest token that fits; shorter ones and none at all are rare
-                    token, start = token_of[fits], end - depth[fits]
-                    if token >= 0 and (not start or ((own := last[start - 1]) >= 0 and compatible[own << 32 | token])):
-                        break
-                    fits = shorter[fits]
-                    if not fits:
-                        token = -1
-                        break
-                states.append(state)
-                last.append(token)
-                starts.append(start)
+                token, start = token_of[state], end - depth[state]
+                if token < 0 or (start and ((own := last[start]) < 0 or not compatible[own << 32 | token])):
+                    fits, token = shorter[state], -1
+                    while fits:  # shorter tokens than the longest, and none at all, are rare
+                        start = end - depth[fits]
+                        if not start or ((own := last[start]) >= 0 and compatible[own << 32 | token_of[fits]]):
+                            token = token_of[fits]
+                            break
+                        fits = shorter[fits]
+                states[end], last[end], starts[end] = state, token, start
             ids = []
             while end:
-                ids.append(last[end - 1])
-                end = starts[end - 1]
+                ids.append(last[end])
+                end = starts[end]
             ids.reverse()
             yield struct.pack(f"<{len(ids)}I", *ids)
             before = piece
@@ -232,16 +241,23 @@ class Encoder:
         words, pieces = set(), set()
         for text in texts:
             words.update(text.split(" "))
-        pieces_of = {w: self.pieces.findall(" " + w) for w in self.word_ids.lacking(words)}
-        pieces.update(*pieces_of.values())
+        plain, pieces_of = {}, {}
+        for w in self.word_ids.lacking(words):
+            if self.letters(w):
+                plain[w] = " " + w
+            else:
+                pieces_of[w] = self.pieces.findall(" " + w)
+        pieces.update(plain.values(), *pieces_of.values())
         in_order = sorted(self.piece_ids.lacking(pieces))  # by code points, which is the order of their bytes
         self.piece_ids.keep(dict(zip(in_order, self._ids_of(map(str.encode, in_order)), strict=True)))
         of = self.piece_ids.__getitem__
-        self.word_ids.keep({w: of(own[0]) if len(own) == 1 else b"".join(map(of, own)) for w, own in pieces_of.items()})
+        found = {w: of(own) for w, own in plain.items()}
+        found |= {w: of(own[0]) if len(own) == 1 else b"".join(map(of, own)) for w, own in pieces_of.items()}
+        self.word_ids.keep(found)
 
     def forget(self) -> None:
         """Gives back what a task has learnt: workers live longer than that, and serve other operators as well."""
-        for kept in (self.word_ids, self.piece_ids, self.compatible):
+        for kept in (self.word_ids, self.piece_ids, self.compatible, self.failing):
             kept.forget()
 
     def _plain_ids(self, text: str) -> bytes:
@@ -272,8 +288,12 @@ class Encoder:
 
     def decode(self, ids: bytes) -> str:
         """The text of such ids; bytes that are no UTF-8 become U+FFFD, ids that the vocabulary lacks are left out."""
-        tokens = self.vocabulary.tokens
-        return b"".join([tokens.get(i, b"") for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        of = np.frombuffer(ids, "<u4").tolist()
+        try:
+            content = b"".join(map(self.vocabulary.tokens.__getitem__, of))
+        except KeyError:
+            content = b"".join([self.vocabulary.tokens.get(i, b"") for i in of])
+        return content.decode("utf-8", "replace")
 
 
 @functools.lru_cache(maxsize=2)
